@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,24 +38,36 @@ def load_results(
         raise ValueError(f"columns not in the file: {', '.join(missing)}")
     rename = dict(parsing.rename or {})
     kept = {c: rename.get(c, c) for c in wanted if c in header}
-    lost = [c for c in (*parsing.categories, parsing.date_column) if c not in kept.values()]
-    if lost:
-        raise ValueError(f"configured columns not in the file: {', '.join(lost)}")
-
-    text = set(parsing.categories) | {parsing.date_column}
-    types = {c: t for c, t in parsing.types.items() if c not in text}
-    open_ended = [raw for raw, name in kept.items() if name not in text and name not in types]
-    if open_ended:
+    types = dict(parsing.types)
+    text = {*parsing.categories, parsing.date_column}
+    if any(name not in text and name not in types for name in kept.values()):
         inferred = reader.option("inferSchema", True).csv(path).schema
-        types |= {kept[c]: _widened(inferred[c].dataType) for c in open_ended}
-
+        types = {rename.get(f.name, f.name): _widened(f.dataType) for f in inferred.fields} | types
     # Every column is read as text by name; the parser still skips the ones not selected.
     as_text = T.StructType([T.StructField(c, T.StringType()) for c in header])
     raw = reader.schema(as_text).options(enforceSchema=False, inferSchema=False).csv(path)
+    return typed_results(raw, list(kept), parsing, types)
+
+
+def typed_results(
+    raw: DataFrame, columns: Sequence[str], parsing: ParsingConfig, types: Mapping[str, str] | None = None
+) -> DataFrame:
+    """Text columns to typed ones: missing markers to null, names and types as configured, ``date`` parsed.
+
+    Columns without a configured type stay text.
+    """
+    rename = dict(parsing.rename or {})
+    kept = {c: rename.get(c, c) for c in columns if c in raw.columns}
+    lost = [c for c in (*parsing.categories, parsing.date_column) if c not in kept.values()]
+    if lost:
+        raise ValueError(f"configured columns not in the file: {', '.join(lost)}")
+    types = parsing.types if types is None else types
     typed = []
     for source, name in kept.items():
-        value = F.when(~F.col(f"`{source}`").isin(*MISSING_TEXTS), F.col(f"`{source}`"))
-        typed.append((value if name in text else value.try_cast(types[name])).alias(name))
+        text = F.col(f"`{source}`")
+        value = F.when(~text.isin(*MISSING_TEXTS), text)
+        as_is = name in parsing.categories or name == parsing.date_column or name not in types
+        typed.append((value if as_is else value.try_cast(types[name])).alias(name))
     return raw.select(*typed).withColumn("date", lenient_timestamp(parsing.date_column, parsing.date_format))
 
 
