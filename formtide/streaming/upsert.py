@@ -15,7 +15,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructType
 
 from formtide.operators.changes import latest_per_key
 
@@ -65,10 +65,10 @@ class SyncedTable:
         return last
 
     def _newest_base(self) -> int | None:
-        return self._folder("bases", StructType().add("upto", "bigint")).agg(F.max("upto").alias("n")).first()["n"]
+        return self._folder("bases", StructType().add("upto", LongType())).agg(F.max("upto").alias("n")).first()["n"]
 
     def _pending(self, base_id: int | None) -> DataFrame:
-        changes = self._folder("changes", StructType([*self.schema.fields]).add("batch", "bigint"))
+        changes = self._folder("changes", StructType([*self.schema.fields]).add("batch", LongType()))
         return changes if base_id is None else changes.where(F.col("batch") > base_id)
 
     def _folder(self, name: str, schema: StructType) -> DataFrame:
