@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -547,7 +548,7 @@ def change_feed(spark: SparkSession, folder: str) -> DataFrame:
 )
 def incremental_upsert(spark: SparkSession, folder: str) -> DataFrame:
     schema = table(spark, folder, "events").schema
-    root = f"{shared_dir(spark)}/synced-{spark.sql('SELECT uuid()').first()[0]}"
+    root = f"{shared_dir(spark)}/synced-{uuid.uuid4().hex}"
     copy = SyncedTable(spark, root, schema, ("user_id", "event_type"), ("ts", "event_id"))
     # As a pattern the path may be one file or a folder of files.
     stream = spark.readStream.schema(schema).parquet(f"{folder}/event[s].parquet")
