@@ -6,8 +6,9 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 << 20
@@ -15,11 +16,11 @@ BROADCAST_BYTES = 64 << 20
 
 @dataclass(frozen=True)
 class Extent:
-    """Row count, approximate bytes, and the range of some columns."""
+    """Row count, approximate bytes, and (lowest, highest) literals of the columns that hold any value."""
 
     rows: int
     bytes: int
-    ranges: dict[str, tuple[Any, Any]] = field(default_factory=dict)
+    ranges: dict[str, tuple[Column, Column]] = field(default_factory=dict)
 
     @property
     def fits(self) -> bool:
@@ -31,16 +32,30 @@ def extent(df: DataFrame, range_of: Sequence[str] = ()) -> Extent:
     width = F.lit(0)
     for name in df.columns:
         width = width + F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0)) + F.lit(8)
-    row = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.coalesce(F.sum(width), F.lit(0)).alias("bytes"),
-        *[F.min(c).alias(f"low_{i}") for i, c in enumerate(range_of)],
-        *[F.max(c).alias(f"high_{i}") for i, c in enumerate(range_of)],
-    ).first()
-    ranges = {c: (row[f"low_{i}"], row[f"high_{i}"]) for i, c in enumerate(range_of)}
+    ends = []
+    for i, name in enumerate(range_of):
+        kind = df.schema[name].dataType
+        ends += [_carried(F.min(name), kind).alias(f"low_{i}"), _carried(F.max(name), kind).alias(f"high_{i}")]
+    row = df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes"), *ends).first()
+    ranges = {
+        name: tuple(_literal(row[f"{end}_{i}"], df.schema[name].dataType) for end in ("low", "high"))
+        for i, name in enumerate(range_of)
+        if row[f"low_{i}"] is not None
+    }
     return Extent(row["rows"], row["bytes"], ranges)
 
 
+def _carried(value: Column, kind: T.DataType) -> Column:
+    """Times travel as numbers or text, since Python's would depend on the driver's time zone."""
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(value)
+    return value.cast("string") if isinstance(kind, T.TimestampNTZType) else value
+
+
+def _literal(value: Any, kind: T.DataType) -> Column:
+    return F.timestamp_micros(F.lit(value)) if isinstance(kind, T.TimestampType) else F.lit(value).cast(kind)
+
+
 def distinct_extent(df: DataFrame) -> Extent:
     """Extent of the distinct rows of ``df``, with the range of every column.
 
