@@ -35,25 +35,26 @@ def extent(df: DataFrame, range_of: Sequence[str] = ()) -> Extent:
     ends = []
     for i, name in enumerate(range_of):
         kind = df.schema[name].dataType
-        ends += [_carried(F.min(name), kind).alias(f"low_{i}"), _carried(F.max(name), kind).alias(f"high_{i}")]
+        ends += [carried(F.min(name), kind).alias(f"low_{i}"), carried(F.max(name), kind).alias(f"high_{i}")]
     row = df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes"), *ends).first()
     ranges = {
-        name: tuple(_literal(row[f"{end}_{i}"], df.schema[name].dataType) for end in ("low", "high"))
+        name: tuple(restored(F.lit(row[f"{end}_{i}"]), df.schema[name].dataType) for end in ("low", "high"))
         for i, name in enumerate(range_of)
         if row[f"low_{i}"] is not None
     }
     return Extent(row["rows"], row["bytes"], ranges)
 
 
-def _carried(value: Column, kind: T.DataType) -> Column:
+def carried(value: Column, kind: T.DataType) -> Column:
     """Times travel as numbers or text, since Python's would depend on the driver's time zone."""
     if isinstance(kind, T.TimestampType):
         return F.unix_micros(value)
     return value.cast("string") if isinstance(kind, T.TimestampNTZType) else value
 
 
-def _literal(value: Any, kind: T.DataType) -> Column:
-    return F.timestamp_micros(F.lit(value)) if isinstance(kind, T.TimestampType) else F.lit(value).cast(kind)
+def restored(value: Column, kind: T.DataType) -> Column:
+    """What ``carried`` made, as a value of ``kind`` again."""
+    return F.timestamp_micros(value) if isinstance(kind, T.TimestampType) else value.cast(kind)
 
 
 def distinct_extent(df: DataFrame) -> Extent:
