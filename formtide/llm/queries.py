@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from formtide.llm import bpe
+from formtide.llm import bpe, lines, quality
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,11 +18,88 @@ def read_bytes(path: str) -> bytes:
         return file.read()
 
 
+def op1_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Boilerplate lines of each source, dropped from the texts of ``documents``."""
+    docs = table(spark, folder, "documents").select("doc_id", "source", "text")
+    kept = lines.drop_boilerplate(docs, host="source", counts=True)
+    return kept.select(
+        "doc_id", "source", "n_lines", "n_boilerplate", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+    )
+
+
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """The ledger of ``documents`` under the base policy and the full one."""
+    entries = quality.ledger(table(spark, folder, "documents"))
+    judged = quality.apply_policy(entries, quality.FULL).withColumn(
+        "base_failed", F.col("failed").bitwiseAND(F.lit(quality.BASE.mask)) != 0
+    )
+    return judged.select("doc_id", *quality.MEASURES, "failed", "base_failed", "kept")
+
+
 def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Encodes and decodes every text of ``documents``."""
     vocabulary = read_bytes(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     return bpe.round_trip(table(spark, folder, "documents"), vocabulary, public_tokenizers.PATTERN)
 
 
-QUERIES = {"op7_bpe": op7_bpe}
-ORACLES: dict[str, str] = {}
+QUERIES = {"op1_lines": op1_lines, "op4_quality": op4_quality, "op7_bpe": op7_bpe}
+
+LINES_SQL = """
+WITH docs AS (SELECT doc_id, coalesce(source, '') AS host, text, string_split(coalesce(text, ''), chr(10)) AS parts
+              FROM documents),
+     lines AS (SELECT doc_id, host, unnest(parts) AS line, generate_subscripts(parts, 1) AS pos FROM docs),
+     boiler AS (
+         SELECT host, trim(line) AS line FROM lines JOIN (SELECT host, count(*) AS total FROM docs GROUP BY host) USING (host)
+         WHERE trim(line) <> '' GROUP BY host, trim(line), total
+         HAVING count(DISTINCT doc_id) >= 5 AND count(DISTINCT doc_id) > 0.1 * total),
+     flags AS (
+         SELECT l.doc_id, l.line, l.pos, length(trim(l.line)) AS size, trim(l.line) <> '' AS solid, b.line IS NOT NULL AS hit
+         FROM lines l LEFT JOIN boiler b ON b.host = l.host AND b.line = trim(l.line)),
+     pages AS (
+         SELECT doc_id, count(*) FILTER (solid) AS n_lines, count(*) FILTER (hit) AS n_boilerplate,
+                coalesce(sum(size) FILTER (hit), 0) > 0.5 * sum(size) AS spared,
+                coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT hit), '') AS rest
+         FROM flags GROUP BY doc_id)
+"""
+ORACLES: dict[str, str] = {
+    "op1_lines": LINES_SQL
+    + """
+SELECT doc_id, source, n_lines, n_boilerplate, CASE WHEN spared THEN 0 ELSE n_boilerplate END AS n_dropped,
+       sha256(CASE WHEN spared OR text IS NULL THEN coalesce(text, '') ELSE rest END) AS kept_sha256
+FROM pages JOIN documents USING (doc_id)
+""",
+}
+
+QUALITY_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+     w AS (SELECT doc_id, t, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM d),
+     grams AS (SELECT doc_id, i, w[i] || chr(31) || w[i + 1] || chr(31) || w[i + 2] AS g
+               FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM w)),
+     twice AS (SELECT doc_id, i FROM grams QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+     covered AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, range(3) t(k) GROUP BY doc_id),
+     lines AS (SELECT doc_id, count(*) AS n, count(*) - count(DISTINCT line) AS dup
+               FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d)
+               WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+     m AS (
+         SELECT doc_id, len(w) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+                length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+                coalesce(lines.n, 0) AS n_lines, coalesce(dup, 0) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words,
+                length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS n_upper
+         FROM w LEFT JOIN lines USING (doc_id) LEFT JOIN covered USING (doc_id)),
+     f AS (
+         SELECT *, CASE WHEN n_words < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 50 * n_words THEN 2 ELSE 0 END
+                + CASE WHEN 100 * n_symbols > 10 * n_words THEN 4 ELSE 0 END
+                + CASE WHEN word_chars > 10 * n_words THEN 8 ELSE 0 END + CASE WHEN word_chars < 3 * n_words THEN 16 ELSE 0 END
+                + CASE WHEN 100 * n_dup_lines > 50 * n_lines THEN 32 ELSE 0 END
+                + CASE WHEN 100 * n_upper > 30 * word_chars THEN 64 ELSE 0 END AS failed
+         FROM m)
+"""
+ORACLES["op4_quality"] = (
+    QUALITY_SQL
+    + """
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+       n_lines::BIGINT AS n_lines, n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words,
+       n_upper::BIGINT AS n_upper, failed::BIGINT AS failed, failed & 3 <> 0 AS base_failed, failed = 0 AS kept
+FROM f
+"""
+)
