@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from formtide.llm import bpe, lines, quality
+from formtide.llm import bpe, licenses, lines, quality, shards, urls
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -36,13 +36,44 @@ def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", *quality.MEASURES, "failed", "base_failed", "kept")
 
 
+RULES = (
+    urls.Rule("allow", "com/"),
+    urls.Rule("block", "example.com/en/"),
+    urls.Rule("allow", "www.example.com/en/"),
+    urls.Rule("block", "net/es/"),
+    urls.Rule("block", "net/fr/"),
+)
+
+
+def op5_urls(spark: SparkSession, folder: str) -> DataFrame:
+    """Rules and template purity for every url of ``pages``."""
+    return urls.filter_urls(table(spark, folder, "pages"), RULES)
+
+
 def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Encodes and decodes every text of ``documents``."""
     vocabulary = read_bytes(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     return bpe.round_trip(table(spark, folder, "documents"), vocabulary, public_tokenizers.PATTERN)
 
 
-QUERIES = {"op1_lines": op1_lines, "op4_quality": op4_quality, "op7_bpe": op7_bpe}
+def op8_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """All ``documents`` in 24 shards, and where they stand with one shard more."""
+    return shards.shard_documents(table(spark, folder, "documents"), 24)
+
+
+def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """License phrases and template spans of every text of ``documents``."""
+    return licenses.scan(table(spark, folder, "documents"))
+
+
+QUERIES = {
+    "op1_lines": op1_lines,
+    "op4_quality": op4_quality,
+    "op5_urls": op5_urls,
+    "op7_bpe": op7_bpe,
+    "op8_shards": op8_shards,
+    "op10_licenses": op10_licenses,
+}
 
 LINES_SQL = """
 WITH docs AS (SELECT doc_id, coalesce(source, '') AS host, text, string_split(coalesce(text, ''), chr(10)) AS parts
@@ -103,3 +134,60 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 FROM f
 """
 )
+
+
+def _urls_sql() -> str:
+    fits = lambda r: f"((host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}'))"
+    by_length = sorted(RULES, key=lambda r: -len(r.text))
+    rule = "CASE " + " ".join(f"WHEN {fits(r)} THEN '{r.text}'" for r in by_length) + " END"
+    given = "CASE " + " ".join(f"WHEN {fits(r)} THEN '{r.verdict}'" for r in by_length) + " END"
+    sql = f"""
+WITH split AS (
+         SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
+                                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path
+         FROM pages),
+     pieces AS (
+         SELECT page_id, host, path, {rule} AS rule, {given} AS given,
+                list_filter(string_split(regexp_replace(path, '[0-9]+', '{{n}}', 'g'), '/'), lambda s: s <> '') AS s FROM split),
+     judged AS (
+         SELECT page_id, host, path, rule, given, CASE WHEN len(s) > 3 THEN list_append(s[1:3], '**') ELSE s END AS s FROM pieces),
+     t0 AS (
+         SELECT host, s, count(*) AS pages, count(*) FILTER (given = 'allow') AS good, count(*) FILTER (given = 'block') AS bad,
+                '' AS template
+         FROM judged GROUP BY host, s)"""
+    for k in range(1, 4):
+        sql += f""",
+     b{k} AS (
+         SELECT host, template, s[{k}] AS seg, sum(pages) AS pages, sum(good) AS good, sum(bad) AS bad
+         FROM t{k - 1} WHERE len(s) >= {k} GROUP BY ALL),
+     n{k} AS (
+         SELECT host, template, count(*) AS n, sum(pages) AS total, (sum(good) + 0.5::DOUBLE) / (sum(good) + sum(bad) + 1) AS node
+         FROM b{k} GROUP BY ALL),
+     c{k} AS (
+         SELECT b.host, b.template, seg, (good + 0.5::DOUBLE) / (good + bad + 1) AS rate,
+                CASE WHEN n > 20 AND pages * 20 < total THEN '*'
+                     WHEN n > 1 AND good + bad >= 5
+                          AND (rate - node) * (rate - node) * (good + bad)::DOUBLE <= 3.84::DOUBLE * node * (1 - node) THEN '*'
+                     ELSE seg END AS step
+         FROM b{k} b JOIN n{k} n ON n.host = b.host AND n.template = b.template),
+     t{k} AS (
+         SELECT t.host, s, pages, good, bad, t.template || coalesce('/' || step, '') AS template
+         FROM t{k - 1} t LEFT JOIN c{k} c ON c.host = t.host AND c.template = t.template AND c.seg = s[{k}])"""
+    return (
+        sql
+        + """,
+     known AS (SELECT host, s, good, bad, template || CASE WHEN len(s) > 3 THEN '/**' ELSE '' END AS template FROM t3),
+     prior AS (SELECT coalesce(sum(good)::DOUBLE / nullif(sum(good + bad), 0), 1.0) AS p FROM known),
+     purity AS (
+         SELECT host, template, sum(good + bad)::BIGINT AS n_labels,
+                (sum(good)::DOUBLE + 5.0::DOUBLE * (SELECT p FROM prior)) / (sum(good + bad)::DOUBLE + 5.0) AS purity
+         FROM known GROUP BY host, template)
+SELECT page_id, j.host, path, rule,
+       coalesce(given, CASE WHEN purity < 0.5 THEN 'block' ELSE 'allow' END) AS verdict, k.template, n_labels, purity
+FROM judged j JOIN known k ON k.host = j.host AND k.s = j.s JOIN purity p ON p.host = k.host AND p.template = k.template
+"""
+    )
+
+
+ORACLES["op5_urls"] = _urls_sql()
