@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from formtide.llm import bpe, licenses, lines, quality, shards, urls
+from formtide.llm import bpe, decontaminate, licenses, lines, quality, shards, urls
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -27,6 +27,12 @@ def op1_lines(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Items of ``benchmark`` in each of the ``documents``."""
+    docs, benchmark = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    return decontaminate.contamination(docs, benchmark)
+
+
 def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
     """The ledger of ``documents`` under the base policy and the full one."""
     entries = quality.ledger(table(spark, folder, "documents"))
@@ -68,6 +74,7 @@ def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_lines": op1_lines,
+    "op2_decontamination": op2_decontamination,
     "op4_quality": op4_quality,
     "op5_urls": op5_urls,
     "op7_bpe": op7_bpe,
