@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from formtide.llm import bpe, decontaminate, licenses, lines, quality, shards, urls
+from formtide.llm import bpe, decontaminate, jaccard, licenses, lines, quality, shards, urls
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -67,6 +67,11 @@ def op8_shards(spark: SparkSession, folder: str) -> DataFrame:
     return shards.shard_documents(table(spark, folder, "documents"), 24)
 
 
+def op9_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate components of ``documents``."""
+    return jaccard.similar_groups(table(spark, folder, "documents"))
+
+
 def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
     """License phrases and template spans of every text of ``documents``."""
     return licenses.scan(table(spark, folder, "documents"))
@@ -79,6 +84,7 @@ QUERIES = {
     "op5_urls": op5_urls,
     "op7_bpe": op7_bpe,
     "op8_shards": op8_shards,
+    "op9_jaccard": op9_jaccard,
     "op10_licenses": op10_licenses,
 }
 

@@ -104,3 +104,43 @@ def window_hashes(words: np.ndarray, texts: np.ndarray, places: tuple[int, ...],
         total += words[j : j + n] * (_LETTER[(k + 1) % 256] ^ np.uint64(salt << 1))
     at = np.flatnonzero(texts[:n] == texts[span - 1 :])
     return mix(total[at]), at
+
+
+def slices(batches, column: str, limit: int = 4 << 20):
+    """Pieces of record batches with about ``limit`` bytes of ``column``; a longer text is a piece of its own."""
+    for batch in batches:
+        data, offsets = buffers(batch.column(column))
+        del data
+        at = 0
+        while at < len(batch):
+            end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, side="right")) - 1)
+            yield batch.slice(at, end - at)
+            at = end
+
+
+def shingles(column: pa.Array, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, text number) of the distinct word shingles of each text, ordered by text and hash.
+
+    Words stand between ASCII white space, A-Z lower-cased. A text with fewer words than ``width`` has one shingle of them
+    all, and none without words.
+    """
+    data, offsets = buffers(column)
+    words, texts = word_hashes(data, offsets, SPACED)
+    hashes, at = window_hashes(words, texts, tuple(range(width)))
+    owner = texts[at]
+    first = np.searchsorted(texts, np.arange(len(offsets)))
+    counts = np.diff(first)
+    more, owners = [hashes], [owner]
+    for n in range(1, width):
+        short = np.flatnonzero(counts == n)
+        total = np.full(len(short), np.uint64(n), np.uint64)
+        for j in range(n):
+            total += words[first[short] + j] * _LETTER[128 + j]
+        more.append(mix(total))
+        owners.append(short)
+    hashes, owner = np.concatenate(more), np.concatenate(owners)
+    order = np.lexsort((hashes, owner))
+    hashes, owner = hashes[order], owner[order]
+    keep = np.ones(len(hashes), bool)
+    keep[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
+    return hashes[keep], owner[keep]
