@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from formtide.llm import bpe, decontaminate, jaccard, licenses, lines, quality, shards, urls
+from formtide.llm import bpe, decontaminate, jaccard, licenses, lines, pii, quality, shards, urls
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -56,6 +56,11 @@ def op5_urls(spark: SparkSession, folder: str) -> DataFrame:
     return urls.filter_urls(table(spark, folder, "pages"), RULES)
 
 
+def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Base spans of every text of ``documents``, and those that a model of them adds."""
+    return pii.fit_and_scan(table(spark, folder, "documents"))
+
+
 def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Encodes and decodes every text of ``documents``."""
     vocabulary = read_bytes(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
@@ -82,6 +87,7 @@ QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op4_quality": op4_quality,
     "op5_urls": op5_urls,
+    "op6_pii": op6_pii,
     "op7_bpe": op7_bpe,
     "op8_shards": op8_shards,
     "op9_jaccard": op9_jaccard,
