@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from formtide.llm import bpe, decontaminate, jaccard, licenses, lines, pii, quality, shards, urls
+from formtide.llm import bpe, decontaminate, jaccard, licenses, lines, pii, quality, shards, substrings, urls
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -33,6 +33,12 @@ def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contamination(docs, benchmark)
 
 
+def op3_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    """Every text of ``documents`` without the 50-byte strings of documents with smaller ids."""
+    rest = substrings.remove_repeats(table(spark, folder, "documents"))
+    return rest.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
     """The ledger of ``documents`` under the base policy and the full one."""
     entries = quality.ledger(table(spark, folder, "documents"))
@@ -85,6 +91,7 @@ def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_lines": op1_lines,
     "op2_decontamination": op2_decontamination,
+    "op3_substrings": op3_substrings,
     "op4_quality": op4_quality,
     "op5_urls": op5_urls,
     "op6_pii": op6_pii,
