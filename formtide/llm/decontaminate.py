@@ -130,10 +130,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...] =
     found = copies(docs, benchmark).groupBy("key").agg(
         F.count("*").alias("n_items"), F.sort_array(F.collect_list("item_id")).alias("items")
     )
-    rows = docs.select(*(F.col(f"`{c}`") for c in keep), text_key().alias("key")).join(found, "key", "left")
+    row = F.struct(*(F.col(f"`{c}`") for c in keep)).alias("row")
+    rows = docs.select(row, text_key().alias("key")).join(found, "key", "left")
     none = F.array().cast(found.schema["items"].dataType)
     return rows.select(
-        *(F.col(f"`{c}`") for c in keep),
+        "row.*",
         F.col("n_items").isNotNull().alias("contaminated"),
         F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"),
         F.coalesce("items", none).alias("items"),
@@ -142,5 +143,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...] =
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` in which no item stands, with their columns."""
-    found = copies(docs, benchmark).select(F.col("key").alias("__key")).distinct()
-    return docs.withColumn("__key", text_key()).join(found, "__key", "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
+    found = copies(docs, benchmark).select("key").distinct()
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    return docs.select(row, text_key().alias("key")).join(found, "key", "left_anti").select("row.*")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from formtide.llm.common import text_of
+from formtide.llm.common import let, text_of
 from formtide.operators.sizing import broadcast_if_small
 from formtide.session import materialize
 
@@ -60,34 +60,36 @@ def drop_boilerplate(
     """
     site = F.coalesce(F.col(host).cast("string"), F.lit(""))
     found = boilerplate_lines(docs, host, ratio, min_pages)
-    per_host = found.groupBy(F.col("host").alias("__host")).agg(F.collect_set("line").alias("__lines"))
+    per_host = found.groupBy("host").agg(F.collect_set("line").alias("known"))
     per_host = broadcast_if_small(materialize(per_host, "boilerplate"))  # measured; shuffled beyond the bound
     added = ("n_lines", "n_boilerplate", "n_dropped")
     names = [c for c in docs.columns if not (counts and c in added)]
-    pages = docs.select(*(F.col(f"`{c}`") for c in names), site.alias("__host")).join(per_host, "__host", "left")
-    known = F.coalesce(F.col("__lines"), F.array().cast("array<struct<a:bigint,b:bigint>>"))
-    lines = _lines(text_of())
-    flags = F.transform(
-        lines, lambda x: F.struct(x.alias("line"), (F.trim(x) != "").alias("solid"), F.array_contains(known, _key(x)).alias("hit"))
-    )
-    flags = F.when((F.size(known) > 0), flags).otherwise(
-        F.transform(lines, lambda x: F.struct(x.alias("line"), (F.trim(x) != "").alias("solid"), F.lit(False).alias("hit")))
-    )
-    pages = pages.withColumn("__flags", flags)
-    chars = lambda which: F.aggregate(
-        which, F.lit(0).cast("long"), lambda n, x: n + F.char_length(F.trim(x["line"]))
-    )
-    hits = F.filter("__flags", lambda x: x["hit"] & x["solid"])
-    pages = pages.withColumn("__spared", chars(hits) > max_loss * chars(F.col("__flags")))
-    kept = F.filter("__flags", lambda x: ~(x["hit"] & x["solid"]))
-    rest = F.array_join(F.transform(kept, lambda x: x["line"]), "\n")
-    text = F.when(F.col("text").isNull() | F.col("__spared") | (F.size(hits) == 0), F.col("text")).otherwise(rest)
-    out = [text.alias(c) if c == "text" else F.col(f"`{c}`") for c in names]
+    row = F.struct(*(F.col(f"`{c}`") for c in names)).alias("row")
+    pages = docs.select(row, site.alias("host"), text_of().alias("text")).join(per_host, "host", "left")
+    known = F.coalesce(F.col("known"), F.array().cast("array<struct<a:bigint,b:bigint>>"))
+
+    def flag(line: Column) -> Column:
+        solid = F.trim(line) != ""
+        hit = F.when(solid & (F.size(known) > 0), F.array_contains(known, _key(line))).otherwise(F.lit(False))
+        return F.struct(line.alias("line"), solid.alias("solid"), hit.alias("hit"), F.char_length(F.trim(line)).alias("size"))
+
+    def judged(flags: Column) -> Column:
+        hits = F.filter(flags, lambda x: x["hit"])
+        chars = lambda which: F.aggregate(which, F.lit(0).cast("long"), lambda n, x: n + x["size"])
+        count = lambda which: F.size(which).cast("long")
+        return F.struct(
+            count(F.filter(flags, lambda x: x["solid"])).alias("n_lines"),
+            count(hits).alias("n_boilerplate"),
+            (chars(hits) > max_loss * chars(flags)).alias("spared"),
+            F.array_join(F.transform(F.filter(flags, lambda x: ~x["hit"]), lambda x: x["line"]), "\n").alias("rest"),
+        )
+
+    pages = pages.select("row", let(F.transform(_lines(F.col("text")), flag), judged).alias("page"))
+    drops = ~F.col("page.spared") & (F.col("page.n_boilerplate") > 0)
+    old = F.col("row").getField("text")
+    text = F.when(old.isNotNull() & drops, F.col("page.rest")).otherwise(old)
+    out = [text.alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in names]
     if counts:
-        n = lambda x: F.size(x).cast("long")
-        out += [
-            n(F.filter("__flags", lambda x: x["solid"])).alias("n_lines"),
-            n(hits).alias("n_boilerplate"),
-            F.when(F.col("__spared"), F.lit(0)).otherwise(n(hits)).cast("long").alias("n_dropped"),
-        ]
+        dropped = F.when(drops, F.col("page.n_boilerplate")).otherwise(F.lit(0)).cast("long")
+        out += [F.col("page.n_lines"), F.col("page.n_boilerplate"), dropped.alias("n_dropped")]
     return pages.select(*out)

@@ -1,0 +1,240 @@
+"""Row-wise operators: quality ledger, lines, byte-level BPE, personal data, licenses, urls, shards."""
+
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import brute
+import public_tokenizers
+import pytest
+import tiktoken
+from pyspark.sql import functions as F
+
+from formtide.llm import bpe, licenses, lines, pii, quality, shards, urls
+from formtide.llm.queries import RULES, read_bytes
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, key string, host string, line string"
+WORDS = "the and alpha Beta été ß 12 | MIT license x@y.z".split()
+
+
+def ugly_rows() -> list[tuple]:
+    """Nulls in every column, empty and very long texts, repeated rows and ids, columns with the names operators use."""
+    r = random.Random(11)
+    texts = [None, "", " ", "\n\n", "a", "word " * 20_000, "x" * 200_000, "a\tb\x0bc\x0cd\re\u00a0f\u2003g", "The the THE\nThe the THE\n"]
+    texts += [" ".join(r.choice(WORDS) for _ in range(r.randint(1, 120))) for _ in range(30)]
+    texts += ["\n".join(["menu | home", "menu | home ", f"page {k} with " + "its own words " * 5, "Released under the MIT License."]) for k in range(24)]
+    rows = [(k, t, "en", f"s{k % 3}", len(t or ""), "k", "h", "l") for k, t in enumerate(texts)]
+    rows += [rows[10], rows[10], (10, "other text", None, None, None, None, None, None), (None, texts[12], None, None, None, None, None, None)]
+    return rows
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(ugly_rows(), SCHEMA).repartition(3).cache()
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def test_quality_measures(docs):
+    got = Counter((r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in quality.ledger(docs).collect())
+    assert got == Counter(brute.quality(r[1]) for r in ugly_rows())
+
+
+def test_quality_policies_and_ablations(docs, empty):
+    entries = quality.ledger(docs)
+    rows = quality.apply_policy(entries, quality.FULL).collect()
+    for r in rows:
+        failed = {n for n, bit in quality.BIT.items() if r.failed & bit}
+        assert ("few_words" in failed) == (r.n_words < 50)
+        assert ("repeated_words" in failed) == (100 * r.n_repeat_words > 50 * r.n_words)
+        assert r.kept == (not failed)
+    for r in quality.ablations(entries, quality.FULL).collect():
+        bit = quality.BIT[r.rule]
+        assert r.fails == sum(bool(x.failed & bit) for x in rows)
+        assert r.fails_alone == sum(x.failed == bit for x in rows)
+        assert r.kept_without == sum(not x.failed & ~bit for x in rows)
+    assert quality.ablations(quality.ledger(empty), quality.FULL).count() == 0
+    kept = quality.keep_good(docs)
+    assert kept.columns == docs.columns and kept.count() == sum(r.kept for r in rows)
+
+
+def test_line_dedup(docs, empty):
+    got = lines.drop_boilerplate(docs, counts=True)
+    rows = ugly_rows()
+    expected = brute.boilerplate([(r[3], r[1]) for r in rows])
+    assert Counter((r.doc_id, r.text) for r in got.collect()) == Counter((r[0], t) for r, t in zip(rows, expected))
+    assert got.columns == [*docs.columns, "n_lines", "n_boilerplate", "n_dropped"]
+    assert any(t != r[1] for r, t in zip(rows, expected))
+    assert lines.drop_boilerplate(empty).count() == 0
+
+
+def test_line_dedup_spares_copies(spark):
+    page = "one line\nanother line"
+    rows = [(k, page, "s") for k in range(6)] + [(k, f"one line\nown words of page {k} and many more of them", "s") for k in range(6, 20)]
+    got = {r.doc_id: r.text for r in lines.drop_boilerplate(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert got[0] == page  # boilerplate alone: left to the stages that remove copies
+    assert got[7] == "own words of page 7 and many more of them"
+
+
+VOCABULARY = read_bytes(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
+@pytest.fixture(scope="module")
+def library():
+    ranks = bpe.parse_ranks(VOCABULARY)
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def test_bpe_equals_the_library(library):
+    codec = bpe.Codec(bpe.parse_ranks(VOCABULARY), public_tokenizers.PATTERN)
+    r = random.Random(3)
+    for _ in range(1500):
+        text = "".join(r.choice("ab  \n\t'stéö123!?£漢字🙂<|endoftext|>") for _ in range(r.randint(0, 60)))
+        assert codec.encode(text) == library.encode_ordinary(text)
+        assert codec.decode(codec.encode(text)) == text.encode()
+    assert codec.decode(codec.encode("ab" * 50_000 + "a" * 50_000)) == b"ab" * 50_000 + b"a" * 50_000
+
+
+def test_bpe_merge_below_the_current_rank():
+    """A merge may make a pair of a lower rank, which goes first; the rest of the bucket waits."""
+    ranks = {bytes([b]): 100 + b for b in range(256)} | {b"ab": 5, b"abc": 2, b"bc": 7, b"abca": 9}
+    codec = bpe.Codec(ranks, r"\S+|\s+")
+    other = tiktoken.Encoding("t", pat_str=r"\S+|\s+", mergeable_ranks=ranks, special_tokens={})
+    for text in ("abcab", "ababcabca", "bcabab", "abcabcabc"):
+        assert codec.encode(text) == other.encode_ordinary(text)
+
+
+def test_bpe_frames(docs, empty, library):
+    got = bpe.round_trip(docs, VOCABULARY, public_tokenizers.PATTERN, ("doc_id", "lang"))
+    expected = Counter()
+    for r in ugly_rows():
+        ids = library.encode_ordinary(r[1] or "")
+        expected[r[0], r[2], len(ids), brute.sha(",".join(map(str, ids)).encode()), brute.sha((r[1] or "").encode())] += 1
+    assert Counter(tuple(r) for r in got.collect()) == expected
+    encoded = bpe.encode_texts(docs.withColumn("ids", F.lit("clash")), VOCABULARY, public_tokenizers.PATTERN)
+    for r in bpe.decode_ids(encoded, VOCABULARY, public_tokenizers.PATTERN).collect():
+        assert bytes(r.decoded) == (r.text or "").encode()
+    assert bpe.round_trip(empty, VOCABULARY, public_tokenizers.PATTERN).count() == 0
+
+
+MARKS = ["a", "@", ".", "-", "+", "1", "25", "256", " ", "(", ")", "é", "b.c", "4111 1111 1111 1111", "@@", "x@y.z", "+1 (555) 555-0100", "10.0.0.1"]
+
+
+def test_private_base_spans():
+    r = random.Random(4)
+    for _ in range(20_000):
+        text = "".join(r.choice(MARKS) for _ in range(r.randint(0, 14)))
+        assert pii.base_spans(text) == brute.private(text)
+    for text in ("1" * 100_000, "a" * 100_000 + "@", "+1" + "(" * 100_000, "@" * 100_000, "1." * 100_000):
+        pii.base_spans(text)  # linear
+
+
+def _lines_of_data(r: random.Random, n: int) -> list[str]:
+    digits = lambda k: "".join(str(r.randrange(10)) for _ in range(k))
+    kinds = [
+        lambda: f"{r.choice('abc')}{digits(2)}@mail{digits(1)}.example.com",
+        lambda: ".".join(str(r.randrange(256)) for _ in range(4)),
+        lambda: next(c for c in iter(lambda: digits(16), None) if brute.luhn(c)),
+        lambda: f"+1 ({digits(3)}) 555-{digits(4)}",
+        lambda: digits(r.choice([2, 4, 9])),
+        lambda: f"{digits(4)}-{digits(2)}-{digits(2)}",
+    ]
+    word = lambda: r.choice(["reth", "sh", "on", "und,", "été", "Ein."])
+    return [" ".join([word(), word(), r.choice(kinds)(), word(), word()]) for _ in range(n)]
+
+
+def test_private_model_on_held_out_lines():
+    r = random.Random(5)
+    model = pii.fit(_lines_of_data(r, 250))
+    hits = wrong = missed = 0
+    for text in _lines_of_data(r, 200):
+        gold, found = set(brute.private(text)), set(model.decode(text))
+        hits, wrong, missed = hits + len(gold & found), wrong + len(found - gold), missed + len(gold - found)
+    assert hits > 100 and wrong <= 0.05 * hits and missed <= 0.05 * hits
+    assert [(k, t) for _, k, t in model.decode("")] == []
+
+
+def test_private_frames(docs, empty):
+    model = pii.fit(_lines_of_data(random.Random(6), 60), epochs=2)
+    expected, got = Counter(), Counter()
+    for r in ugly_rows():
+        base = brute.private(r[1])
+        spelled = ",".join(f"{pii.KINDS[k]}:{a}:{b}" for a, k, b in base)
+        expected[(r[0], *(sum(k == j for _, k, _ in base) for j in range(4)), brute.sha(spelled.encode()))] += 1
+    for r in pii.scan(docs, model).collect():
+        got[r.doc_id, r.n_email, r.n_ip, r.n_card, r.n_phone, r.base_sha256] += 1
+    assert got == expected
+    assert pii.fit_and_scan(empty).count() == 0
+
+
+def test_licenses(spark, docs, empty):
+    texts = [
+        "Released under the MIT License.",
+        "words before. This work is licensed under the new GNU General Public License, version 3. And GENERAL public license",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation",
+        "été mit license apache\nLicense",
+    ]
+    rows = [(k, t) for k, t in enumerate(texts)] + [(r[0], r[1]) for r in ugly_rows()]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter((r.doc_id, r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels, r.labels, round(r.score, 9)) for r in licenses.scan(frame).collect())
+    expected = Counter()
+    for d, t in rows:
+        base = brute.license_base(t, licenses.PHRASES)
+        more = brute.license_coverage((t or "")[:4000], licenses.TEMPLATES, licenses.K, licenses.NEAR, licenses.COVERAGE)
+        own = sorted({label for _, label in base})
+        first, last = (base[0][0], base[-1][0]) if base else (None, None)
+        labels = ",".join(sorted({*own, *more}))
+        expected[d, len(brute.license_words(t)), len(base), first, last, ",".join(own), labels, round(max(more.values(), default=0.0), 9)] += 1
+    assert got == expected
+    assert licenses.scan(empty).count() == 0
+    assert licenses.scan(docs).count() == len(ugly_rows())
+
+
+def test_urls(spark):
+    given = ["https://WWW.Example.com/en/1?x", "http://a.net/es/1", "http://a.net", "http://a.com?x/en/", None, "", "no scheme/en", "x://", "http://b.org/en/1#t", "://h/p"]
+    rows = [(k, u, "k", 1) for k, u in enumerate([*given, given[0], *[f"http://c.net/{'es' if k % 2 else 'de'}/{k}/a/b/c{k}" for k in range(60)]])]
+    frame = spark.createDataFrame(rows, "page_id long, url string, host string, pages int")
+    got = {r.page_id: r for r in urls.filter_urls(frame, RULES).collect()}
+    assert len(got) == len(rows)
+    for k, url, *_ in rows:
+        m = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", url or "")
+        host, path = (re.sub("[A-Z]", lambda x: x[0].lower(), m[1]), m[2]) if m else ("", "")
+        fits = [r for r in RULES if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+        best = max(fits, key=lambda r: len(r.text), default=None)
+        assert (got[k].host, got[k].path, got[k].rule) == (host, path, best and best.text)
+        assert best is None or got[k].verdict == best.verdict
+    assert urls.filter_urls(frame.limit(0), RULES).count() == 0
+
+
+def test_shards(spark, docs, empty):
+    got = shards.shard_documents(docs, 24).collect()
+    assert Counter((r.doc_id, r.size, r.text_crc32) for r in got) == Counter(
+        (r[0], len((r[1] or "").encode()) + 8, zlib.crc32((r[1] or "").encode())) for r in ugly_rows()
+    )
+    by_shard = {}
+    for r in got:
+        by_shard.setdefault(r.shard, []).append(r.slot)
+        assert r.grown_shard in (r.shard, 24)
+    assert all(sorted(s) == list(range(len(s))) for s in by_shard.values())
+    assert len({(r.doc_id, r.shard) for r in got}) == len({r.doc_id for r in got})
+    assert shards.shard_documents(empty, 24).count() == 0
+
+
+def test_shard_weights_and_movement(spark):
+    frame = spark.range(20_000).withColumnRenamed("id", "doc_id")
+    tree = shards.Tree((((1.0, 3.0), (2.0,)), ((2.0, 2.0),)))
+    old = shards.place(frame, tree)
+    counts = {r.shard: r["count"] for r in old.groupBy("shard").count().collect()}
+    for shard, weight in enumerate((1, 3, 2, 2, 2)):
+        share = weight / 10
+        assert abs(counts[shard] - 20_000 * share) < 5 * math.sqrt(20_000 * share)
+    heavier = shards.Tree((((1.0, 3.0), (2.0,)), ((2.0, 4.0),)))
+    moved = shards.place(old, heavier, name="new").filter("shard <> new").groupBy("shard", "new").count().collect()
+    assert moved and all(r.new in (3, 4) for r in moved)  # only into the region that got heavier
+    lighter = shards.Tree((((1.0, 0.0), (2.0,)), ((2.0, 2.0),)))
+    assert shards.place(frame, lighter).filter("shard = 1").isEmpty()
