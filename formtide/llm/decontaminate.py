@@ -17,7 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formtide.llm.tokens import LETTERS, buffers, window_hashes, word_hashes
+from formtide.llm.bitmap import marked, may_hold
+from formtide.llm.tokens import LETTERS, buffers, slices, window_hashes, word_hashes
 
 #: Places of a window that count, by mask. All masks have one span.
 MASKS = ((0, 1, 2, 4, 7, 9, 10), (0, 1, 3, 6, 7, 8, 10), (0, 2, 3, 5, 6, 9, 10))
@@ -38,17 +39,15 @@ def _seeds(rows: DataFrame, key: str, kind: str, marks=None) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap = None if marks is None else np.frombuffer(marks.value, np.uint64)
-        for batch in batches:
+        for batch in slices(batches, "text"):
             data, offsets = buffers(batch.column("text"))
             words, texts = word_hashes(data, offsets, LETTERS)
             firsts = np.searchsorted(texts, np.arange(len(batch) + 1))
             found = []
             for salt, mask in enumerate(MASKS):
                 seeds, at = window_hashes(words, texts, mask, salt)
-                if bitmap is not None:
-                    bit = seeds >> np.uint64(64 - BITMAP)
-                    hit = (bitmap[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
+                if marks is not None:
+                    hit = may_hold(marks.value, seeds, BITMAP)
                     seeds, at = seeds[hit], at[hit]
                 found.append((seeds, at))
             seeds, at = (np.concatenate([x[k] for x in found]) for k in (0, 1))
@@ -74,16 +73,6 @@ def _seeds(rows: DataFrame, key: str, kind: str, marks=None) -> DataFrame:
     return rows.select(F.col(key), F.col("text").cast("string").alias("text")).mapInArrow(run, _SEED.format(key=f"{key} {kind}"))
 
 
-def _bitmap(seeds: DataFrame) -> bytes:
-    """The seeds' top bits. At most 2 ** (BITMAP - 6) rows of one word each reach the driver."""
-    bit = f"shiftrightunsigned(seed, {64 - BITMAP})"
-    words = seeds.selectExpr(f"{bit} >> 6 AS word", f"shiftleft(1L, CAST({bit} & 63 AS INT)) AS bits")
-    found = words.groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
-    bitmap = np.zeros(1 << (BITMAP - 6), np.int64)
-    bitmap[found["word"].to_numpy()] = found["bits"].to_numpy()
-    return bitmap.tobytes()
-
-
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Keeps (key, item_id) of joined seeds whose surroundings agree."""
     for batch in batches:
@@ -107,7 +96,7 @@ def copies(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     items = _seeds(benchmark.select("item_id", "text"), "item_id", benchmark.schema["item_id"].dataType.simpleString())
-    marks = spark.sparkContext.broadcast(_bitmap(items))
+    marks = spark.sparkContext.broadcast(marked(items, "seed", BITMAP))
     seeds = _seeds(docs.select(text_key().alias("key"), "text"), "key", "string", marks)
     items = items.select(
         "seed", "item_id", F.col("n_words").alias("item_words"), F.col("around").alias("item_around"), F.col("place").alias("item_place")
