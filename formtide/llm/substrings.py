@@ -21,6 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from formtide.llm.bitmap import marked, may_hold
 from formtide.llm.tokens import buffers, mix, slices
 from formtide.session import materialize
 
@@ -28,13 +29,17 @@ LENGTH = 50
 #: Bytes of a k-mer; any window has LENGTH - KMER + 1 of them.
 KMER = 14
 #: Input bytes of one bucket, about.
-BUCKET = 3_000_000
+BUCKET = 6_000_000
 #: Bytes that a task combines at a time.
-PIECE = 3 << 20
+PIECE = 1 << 20
+#: Pieces whose stretches are packed together.
+HELD = 4
 #: Depth of the multikey quicksort, in letters of eight bytes; blind tries order what lies deeper.
 SHALLOW = 3
 #: Anchors of more than this share of all stretches are frequent; there are fewer than its inverse.
 FREQUENT = 2e-5
+#: Bits, as a power of two, of the bitmap of texts with repeats: 4 MB whatever the input.
+BITMAP = 25
 #: Bytes beside a frequent anchor that also decide on the bucket.
 BESIDE = (LENGTH - KMER) // 2
 
@@ -58,6 +63,10 @@ def _window_hashes(letters: np.ndarray, n: int) -> np.ndarray:
     return mix(total)
 
 
+def _kmer_hashes(letters: np.ndarray, n: int) -> np.ndarray:
+    return mix(letters[:n] * _MIXER[6] ^ (letters[KMER - 8 : KMER - 8 + n] * _MIXER[7] >> np.uint64(7)))
+
+
 def _equal_windows(letters: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     same = np.ones(len(a), bool)
     for j in [*range(0, LENGTH - 7, 8), LENGTH - 8]:
@@ -74,7 +83,7 @@ class Piece:
         self.n = max(0, n - LENGTH + 1)
         self.text = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(offsets))
         self.valid = self.text[: self.n] == self.text[LENGTH - 1 : LENGTH - 1 + self.n]
-        self.hash = mix(letters[:n] * _MIXER[6] ^ mix(letters[KMER - 8 : KMER - 8 + n]))
+        self.hash = _kmer_hashes(letters, n)
         mask = (np.uint64(1) << np.uint64(max(1, n.bit_length()))) - np.uint64(1)
         low = (self.hash & ~mask) | np.arange(n, dtype=np.uint64)
         size = 1
@@ -84,14 +93,12 @@ class Piece:
             low = np.minimum(low[: len(low) - (_SPAN - size)], low[_SPAN - size :])
         self.anchor = (low[: self.n] & mask).astype(np.int64)
 
-    def runs(self, keep: np.ndarray, extra: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """(first, last) window of stretches of kept windows with one text, one anchor and one value of ``extra``."""
+    def runs(self, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(first, last) window of stretches of kept windows with one text and one anchor."""
         if not keep.any():
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         new = np.ones(self.n, bool)
         new[1:] = (self.anchor[1:] != self.anchor[:-1]) | (keep[1:] != keep[:-1]) | (self.text[1 : self.n] != self.text[: self.n - 1])
-        if extra is not None:
-            new[1:] |= extra[1:] != extra[:-1]
         return np.flatnonzero(new & keep), np.flatnonzero(np.append(new[1:], True) & keep)
 
     def first_and_repeated(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -99,24 +106,43 @@ class Piece:
 
         Texts are in order of ``ids``. Repetitions within one text, or among texts of one id, are neither.
         """
-        where = np.flatnonzero(self.valid)
+        first, repeated = self.valid.copy(), np.zeros(self.n, bool)
+        a, b = self.runs(self.valid)
+        shared = _recurring(self.hash[self.anchor[a]])  # equal windows have equal anchors
+        a, sizes = a[shared], (b - a + 1)[shared]
+        if not len(a):
+            return first, repeated
+        where = np.arange(sizes.sum()) + np.repeat(a - (np.cumsum(sizes) - sizes), sizes)
         hashes = _window_hashes(self.letters, self.n)[where]
-        order = np.argsort(hashes, kind="stable")
+        order = np.argsort(hashes)
         hashes, where = hashes[order], where[order]
         new = np.ones(len(where), bool)
         new[1:] = hashes[1:] != hashes[:-1]
-        head = where[np.flatnonzero(new)[np.cumsum(new) - 1]] if len(where) else where
-        again = ~new
-        same = np.ones(len(where), bool)
-        same[again] = _equal_windows(self.letters, where[again], head[again])
+        starts = np.flatnonzero(new)
+        sizes = np.diff(np.append(starts, len(where)))
+        more = np.repeat(sizes > 1, sizes)  # windows whose hash another one has
+        head = np.repeat(np.minimum.reduceat(where, starts), sizes)[more]
+        where = where[more]
+        same = _equal_windows(self.letters, where, head)  # a hash that two kinds share keeps them all
         own, theirs = self.text[where], self.text[head]
-        first, repeated = np.zeros(self.n, bool), np.zeros(self.n, bool)
-        # A hash that two kinds share keeps them all; rows of one id each keep their own first.
-        first[where[new | ~same | (again & (own != theirs) & (ids[own] == ids[theirs]))]] = True
-        repeated[where[again & same & (ids[own] > ids[theirs])]] = True
+        # Only the first of a text travels; rows of one id each keep their own first.
+        first[where[same & (where != head) & ((own == theirs) | (ids[own] != ids[theirs]))]] = False
+        repeated[where[same & (ids[own] > ids[theirs])]] = True
         return first, repeated
 
 
+def _recurring(hashes: np.ndarray) -> np.ndarray:
+    """Which of the hashes occur more than once."""
+    order = np.argsort(hashes)
+    ordered = hashes[order]
+    twin = np.zeros(len(hashes), bool)
+    twin[1:] = ordered[1:] == ordered[:-1]
+    twin[:-1] |= twin[1:].copy()
+    out = np.zeros(len(hashes), bool)
+    out[order] = twin
+    return out
+
+
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Piece, np.ndarray, np.ndarray]]:
     for batch in slices(batches, "text", PIECE):
         batch = batch.sort_by("doc_id")
@@ -139,56 +165,79 @@ def _unpack(data: bytes, kind: type) -> np.ndarray:
 _STRETCHES = "bucket int, repeated boolean, ids binary, keys binary, starts binary, counts binary, bytes binary"
 
 
+def _dealt(piece: Piece, windows: np.ndarray, hot: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first, last, bucket) of stretches of ``windows``. The bucket follows from the anchor; stretches of a frequent anchor
+    are parted into windows with enough text before it and the others, and the text on that side decides, too."""
+    a, b = piece.runs(windows)
+    anchor = piece.anchor[a]
+    place = mix(piece.hash[anchor])
+    often = np.zeros(len(a), bool)
+    if len(hot) and len(a):
+        at = np.minimum(np.searchsorted(hot, piece.hash[anchor]), len(hot) - 1)
+        often = hot[at] == piece.hash[anchor]
+    parts = [(a[~often], b[~often], place[~often])]
+    a, b, anchor = a[often], b[often], anchor[often]
+    turn = anchor - BESIDE  # the last window that begins early enough
+    for side, first, last, at in ((1, a, np.minimum(b, turn), turn), (2, np.maximum(a, turn + 1), b, anchor)):
+        some = first <= last
+        certificate = np.full(some.sum(), np.uint64(side), np.uint64)
+        for k, j in enumerate([*range(0, KMER + BESIDE - 7, 8), KMER + BESIDE - 8]):
+            certificate += piece.letters[at[some] + j] * _MIXER[k]
+        parts.append((first[some], last[some], mix(certificate)))
+    a, b, place = (np.concatenate([x[k] for x in parts]) for k in range(3))
+    return a, b, (((place >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
+
+
 def _stretches(rows: DataFrame, buckets: int, frequent: np.ndarray) -> DataFrame:
     """Stretches of text by bucket, and (repeated) the stretches of windows that were settled within a piece."""
     known = rows.sparkSession.sparkContext.broadcast(frequent.tobytes())
+    kinds = (pa.int32(), pa.bool_(), *[pa.binary()] * 5)
+    names = ("bucket", "repeated", "ids", "keys", "starts", "counts", "bytes")
+
+    def packed(held: list[tuple]) -> pa.RecordBatch:
+        """One row per bucket from (repeated, buckets, ids, keys, starts, counts, bytes) of some pieces."""
+        press, out = zstandard.ZstdCompressor(level=3), []
+        for settled in (False, True):
+            some = [x[1:] for x in held if x[0] == settled]
+            if not some:
+                continue
+            bucket, ids, keys, starts, counts = (np.concatenate([x[k] for x in some]) for k in range(5))
+            data = np.concatenate([x[5] for x in some])
+            sizes = counts + LENGTH - 1
+            begins = np.cumsum(sizes) - sizes
+            order = np.argsort(bucket, kind="stable")
+            edges = np.flatnonzero(np.append(True, np.diff(bucket[order]) != 0))
+            for k, at in enumerate(np.split(order, edges[1:])):
+                text = b""
+                if not settled:
+                    ends = np.cumsum(sizes[at])
+                    text = press.compress(data[np.arange(ends[-1]) + np.repeat(begins[at] - (ends - sizes[at]), sizes[at])].tobytes())
+                cells = (ids[at], keys[at] ^ ids[at], starts[at], counts[at])
+                out.append((int(bucket[order[edges[k]]]), settled, *map(_pack, cells), text))
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate(kinds)], list(names))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot = np.frombuffer(known.value, np.uint64)
-        press = zstandard.ZstdCompressor(level=3)
-        for piece, ids, keys in _pieces(batches):
+        held: list[tuple] = []
+        for count, (piece, ids, keys) in enumerate(_pieces(batches), 1):
             first, repeated = piece.first_and_repeated(ids)
-            anchor = piece.hash[piece.anchor]
-            place = mix(anchor)
-            side = None
-            if len(hot):
-                often = np.isin(anchor, hot)
-                if often.any():  # by the text before the anchor where the window has enough of it, else by the text behind
-                    side = np.where(often, 1 + (piece.anchor - np.arange(piece.n) >= BESIDE), 0).astype(np.int8)
-                    at = piece.anchor - np.where(side == 2, BESIDE, 0)
-                    beside = [at + j for j in range(0, KMER + BESIDE - 7, 8)] + [at + KMER + BESIDE - 8]
-                    certificate = np.zeros(piece.n, np.uint64)
-                    for k, j in enumerate(beside):
-                        j = np.maximum(j, 0)
-                        certificate += piece.letters[j] * _MIXER[k]
-                    place = np.where(often, mix(certificate + side.astype(np.uint64)), place)
-            a, b = piece.runs(first, side)
-            bucket = (((place[a] >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            a, b, bucket = a[order], b[order], bucket[order]
-            cut = np.searchsorted(bucket, np.arange(buckets + 1))
-            out = {name: [] for name in ("bucket", "repeated", "ids", "keys", "starts", "counts", "bytes")}
-
-            def add(number: int, settled: bool, a: np.ndarray, b: np.ndarray, data: bytes) -> None:
-                text = piece.text[a]  # noqa: B023
-                own = ids[text]  # noqa: B023
-                starts = a - piece.offsets[text]  # noqa: B023
-                cells = (number, settled, _pack(own), _pack(keys[text] ^ own), _pack(starts), _pack((b - a + 1).astype(np.int64)), data)  # noqa: B023
-                for name, cell in zip(out, cells, strict=True):  # noqa: B023
-                    out[name].append(cell)
-
-            for k in np.flatnonzero(np.diff(cut)):
-                x, y = a[cut[k] : cut[k + 1]], b[cut[k] : cut[k + 1]]
-                sizes = y - x + LENGTH
-                ends = np.cumsum(sizes)
-                at = np.arange(ends[-1]) + np.repeat(x - (ends - sizes), sizes)
-                add(int(k), False, x, y, press.compress(piece.data[at].tobytes()))
+            a, b, bucket = _dealt(piece, first, hot, buckets)
+            sizes = b - a + LENGTH
+            data = piece.data[np.arange(sizes.sum()) + np.repeat(a - (np.cumsum(sizes) - sizes), sizes)]
+            text = piece.text[a]
+            held.append((False, bucket, ids[text], keys[text], a - piece.offsets[text], b - a + 1, data))
             if repeated.any():
                 piece.anchor = np.zeros(piece.n, np.int64)  # settled stretches go on across anchors
-                x, y = piece.runs(repeated)
-                add(int(mix(keys[:1].view(np.uint64))[0] % np.uint64(buckets)), True, x, y, b"")
-            kinds = (pa.int32(), pa.bool_(), *[pa.binary()] * 5)
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), kinds, strict=True)], list(out))
+                a, b = piece.runs(repeated)
+                text = piece.text[a]
+                bucket = np.full(len(a), mix(keys[:1].view(np.uint64))[0] % np.uint64(buckets), np.int64)
+                held.append((True, bucket, ids[text], keys[text], a - piece.offsets[text], b - a + 1, np.zeros(0, np.uint8)))
+            del piece, data, first, repeated
+            if count % HELD == 0:
+                yield packed(held)
+                held = []
+        if held:
+            yield packed(held)
 
     return rows.mapInArrow(run, _STRETCHES)
 
@@ -279,6 +328,19 @@ def equal_windows(data: np.ndarray, positions: np.ndarray) -> Iterator[list[int]
         yield from (x for x in blind_trie(raw, listed[a:b], 8 * SHALLOW, LENGTH) if len(x) > 1)
 
 
+def _first_anchors(data: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Hash of the anchor of each stretch of ``data``, the smallest in its first window."""
+    sizes = counts + LENGTH - 1
+    ends = np.cumsum(sizes)
+    out = [np.zeros(0, np.uint64)]
+    for k in range(0, len(counts), 4096):
+        begin, end = ends[k] - sizes[k], ends[min(k + 4096, len(counts)) - 1]
+        hashes = _kmer_hashes(_letters(data[begin:end]), end - begin)
+        at = (ends[k : k + 4096] - sizes[k : k + 4096] - begin)[:, None] + np.arange(_SPAN)
+        out.append(hashes[at].min(axis=1))
+    return np.concatenate(out)
+
+
 def _repeats(table: pa.Table) -> pa.Table:
     """(key, start, count) of windows of one bucket that a document with a smaller id has too."""
     out = []
@@ -296,6 +358,9 @@ def _repeats(table: pa.Table) -> pa.Table:
         ids, keys, starts, counts = (np.concatenate(x) for x in (ids, keys, starts, counts))
         data = np.frombuffer(b"".join(parts), np.uint8)
         del parts
+        shared = _recurring(_first_anchors(data, counts))  # the others have no equal
+        ids, keys, starts = ids[shared], keys[shared], starts[shared]
+        data, counts = data[np.repeat(shared, counts + LENGTH - 1)], counts[shared]
         sizes = counts + LENGTH - 1
         at = np.cumsum(sizes) - sizes
         # Equal stretches count once, for the smallest id; the others are settled as a whole.
@@ -372,8 +437,21 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     key = F.col("doc_id") if ids.isEmpty() else F.xxhash64("doc_id", "text")
     rows = rows.withColumn("key", F.when(F.col("doc_id").isNotNull(), key))
     found = repeated_windows(rows.filter("doc_id IS NOT NULL"))
+    found = materialize(found.withColumn("hash", F.xxhash64("key")), "repeats")
     marks = found.groupBy("key").agg(F.collect_list(F.struct("start", "count")).alias("marks"))
-    joined = rows.join(marks, "key", "left").select("doc_id", "text", "marks")
+    # Texts without any repeat are not shuffled, but for the few that the bitmap takes for others.
+    bitmap = docs.sparkSession.sparkContext.broadcast(marked(found, "hash", BITMAP))
+
+    def touched(batches: Iterator[pa.RecordBatch], hit: bool) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column("hash").to_numpy().view(np.uint64)
+            some = may_hold(bitmap.value, keys, BITMAP) & batch.column("key").is_valid().to_numpy(zero_copy_only=False)
+            yield batch.drop_columns(["hash"]).filter(pa.array(some == hit))
+
+    hashed = rows.withColumn("hash", F.xxhash64("key"))
+    some, rest = (hashed.mapInArrow(lambda b, hit=hit: touched(b, hit), rows.schema) for hit in (True, False))
+    joined = some.join(marks, "key", "left").select("doc_id", "text", "marks")
+    joined = joined.unionByName(rest.select("doc_id", "text", F.lit(None).cast(joined.schema["marks"].dataType).alias("marks")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
