@@ -402,6 +402,22 @@ def keyed_lookup(spark: SparkSession, folder: str) -> DataFrame:
     return lookup.keyed_lookup(requests, FeatureTable(served, tuple(KEYS)))
 
 
+@query(
+    """
+    WITH small AS (SELECT CAST(doc_id AS VARCHAR) AS asked, toxic FROM labels),
+    requests AS (SELECT * FROM small UNION ALL SELECT 'none', 0 UNION ALL SELECT NULL, 1)
+    SELECT r.asked, r.toxic, d.lang, d.source FROM requests r LEFT JOIN documents d ON TRY_CAST(r.asked AS BIGINT) = d.doc_id
+    """
+)
+def keyed_lookup_text_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """Requests name their key as text, as they do in JSON; the table has it as a number."""
+    asked = table(spark, folder, "labels").select(F.col("doc_id").cast("string").alias("asked"), "toxic")
+    odd = spark.createDataFrame([("none", 0), (None, 1)], "asked string, toxic int")
+    requests = asked.union(odd.select("asked", F.col("toxic").cast(asked.schema["toxic"].dataType)))
+    documents = table(spark, folder, "documents").select("doc_id", "lang", "source")
+    return lookup.keyed_lookup(requests, FeatureTable(documents, ("doc_id",)), ["asked"])
+
+
 # --- encoding, training, scores -------------------------------------------------------------------------------
 
 
@@ -441,10 +457,54 @@ def log_loss(spark: SparkSession, folder: str) -> DataFrame:
     return metrics.log_loss(scored, "quality", "p").select(F.round("log_loss", 6).alias("log_loss"))
 
 
+GAPS_SQL = """
+    SELECT CASE WHEN doc_id % 7 = 0 THEN NULL ELSE quality END AS quality, toxic,
+           CASE WHEN doc_id % 5 = 0 THEN NULL WHEN doc_id % 5 = 1 THEN 'NaN'::DOUBLE
+                WHEN toxic = 1 THEN 0.3 ELSE 0.8 END::DOUBLE AS p,
+           CASE WHEN doc_id % 5 = 0 THEN NULL ELSE 1 - toxic END AS said
+    FROM labels"""
+
+
+def _with_gaps(spark: SparkSession, folder: str) -> DataFrame:
+    """Labels with missing labels, probabilities and predictions."""
+    place = F.col("doc_id") % 5
+    chance = F.when(place == 0, None).when(place == 1, float("nan")).otherwise(F.when(F.col("toxic") == 1, 0.3).otherwise(0.8))
+    return table(spark, folder, "labels").select(
+        F.when(F.col("doc_id") % 7 != 0, F.col("quality")).alias("quality"),
+        "toxic",
+        chance.alias("p"),
+        F.when(place != 0, 1 - F.col("toxic")).alias("said"),
+    )
+
+
+@query(
+    f"""
+    WITH gaps AS ({GAPS_SQL})
+    SELECT round(avg(-ln(CASE WHEN quality = 1 THEN p ELSE 1 - p END)) FILTER (p IS NOT NULL AND NOT isnan(p)), 6) AS log_loss,
+           count(*) FILTER (p IS NULL OR isnan(p)) AS unscored
+    FROM gaps WHERE quality IS NOT NULL
+    """
+)
+def log_loss_incomplete(spark: SparkSession, folder: str) -> DataFrame:
+    loss = metrics.log_loss(_with_gaps(spark, folder), "quality", "p")
+    return loss.select(F.round("log_loss", 6).alias("log_loss"), "unscored")
+
+
 @query(
+    f"""
+    WITH gaps AS ({GAPS_SQL})
+    SELECT count(*) FILTER (quality IS NULL) AS unlabelled,
+           count(*) FILTER (quality IS NOT NULL AND said IS NULL) AS unpredicted
+    FROM gaps
     """
-    WITH pairs AS (SELECT quality AS y, 1 - toxic AS p FROM labels),
-    classes AS (SELECT y AS c FROM pairs UNION SELECT p FROM pairs),
+)
+def report_gaps(spark: SparkSession, folder: str) -> DataFrame:
+    return metrics.report_gaps(_with_gaps(spark, folder), "quality", "said")
+
+
+REPORT_SQL = """
+    WITH pairs AS ({pairs}),
+    classes AS (SELECT y AS c FROM pairs UNION SELECT p FROM pairs WHERE p IS NOT NULL),
     counts AS (
       SELECT c, (SELECT count(*) FROM pairs WHERE y = c AND p = c) AS hit,
              (SELECT count(*) FROM pairs WHERE p = c) AS said, (SELECT count(*) FROM pairs WHERE y = c) AS support
@@ -469,10 +529,22 @@ def log_loss(spark: SparkSession, folder: str) -> DataFrame:
            CAST(support AS BIGINT) AS support
     FROM report
     """
-)
+
+
+@query(REPORT_SQL.format(pairs="SELECT quality AS y, 1 - toxic AS p FROM labels"))
 def classification_report(spark: SparkSession, folder: str) -> DataFrame:
     judged = table(spark, folder, "labels").withColumn("predicted", 1 - F.col("toxic"))
-    report = metrics.classification_report(judged, "quality", "predicted")
+    return _rounded(metrics.classification_report(judged, "quality", "predicted"))
+
+
+@query(
+    REPORT_SQL.format(pairs=f"SELECT quality AS y, said AS p FROM ({GAPS_SQL}) WHERE quality IS NOT NULL")
+)
+def classification_report_incomplete(spark: SparkSession, folder: str) -> DataFrame:
+    return _rounded(metrics.classification_report(_with_gaps(spark, folder), "quality", "said"))
+
+
+def _rounded(report: DataFrame) -> DataFrame:
     scores = ("precision", "recall", "f1_score")
     return report.select("label", *[F.round(c, 6).alias(c) for c in scores], "support")
 
@@ -487,20 +559,44 @@ def dataset_profile(spark: SparkSession, folder: str) -> DataFrame:
     return metrics.dataset_profile(matches(spark, folder))
 
 
-@query()
+def _judged(scored: DataFrame) -> DataFrame:
+    """Scores as what must hold of them, since the probabilities themselves are the model's own."""
+    one, two = F.col("p_team_1"), F.col("p_team_2")
+    larger = F.when(F.col("prediction") == 1, one >= two).otherwise(two >= one)
+    return scored.withColumns(
+        {
+            "names_a_side": F.col("prediction").isin(1, 2),
+            "sums_to_one": F.abs(one + two - 1) < 1e-9,
+            "takes_the_larger": larger,
+        }
+    ).drop("prediction", "p_team_1", "p_team_2")
+
+
+HOLDS_SQL = "true AS names_a_side, true AS sums_to_one, true AS takes_the_larger"
+
+
+@query(f"SELECT *, {HOLDS_SQL} FROM matches WHERE date > DATE '{TRAINED_TO}'")
 def train_score(spark: SparkSession, folder: str) -> DataFrame:
     train, test = select.temporal_split(matches(spark, folder), TRAINED_TO)
     early, late = select.validation_split(train, VALID_FROM)
-    return fit_win_model(early, late, SELECTION, *QUICK_FIT).score(test)
+    return _judged(fit_win_model(early, late, SELECTION, *QUICK_FIT).score(test))
 
 
-@query()
+@query(
+    f"""
+    WITH {FORM_SQL},
+    base AS (SELECT * FROM matches WHERE date > DATE '{TRAINED_TO}')
+    SELECT b.*, {_asof_side("team_1")[0]}, {_asof_side("team_2")[0]}, {HOLDS_SQL}
+    FROM base b {_asof_side("team_1")[1]} {_asof_side("team_2")[1]}
+    """
+)
 def score_batch(spark: SparkSession, folder: str) -> DataFrame:
     lookups = form_lookups(*feature_tables(spark, folder))
     train, test = select.temporal_split(matches(spark, folder), TRAINED_TO)
-    early, late = select.validation_split(lookup.training_set(train, lookups), VALID_FROM)
+    rows = materialize(lookup.training_set(train, lookups), "training")
+    early, late = select.validation_split(rows, VALID_FROM)
     model = fit_win_model(early, late, with_features(SELECTION, lookups), *QUICK_FIT, lookups)
-    return model.score_batch(test)
+    return _judged(model.score_batch(test))
 
 
 # --- changes --------------------------------------------------------------------------------------------------

@@ -30,7 +30,8 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, app: str
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the session's ``spark.checkpoint.dir``.
 
-    Only where that is unset (tests on one machine) a temporary folder is made and set.
+    Only where that is unset and the master is ``local`` (tests on one machine) a temporary folder is made and set. On a
+    cluster, executors would each write to their own disk, so there an unset folder is an error.
     """
     context = spark.sparkContext
     current = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -38,6 +39,8 @@ def shared_dir(spark: SparkSession) -> str:
         if context.getCheckpointDir() is None:
             context.setCheckpointDir(current)
         return current
+    if context.master.partition("[")[0] != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="formtide-"))
     return context.getCheckpointDir()
 

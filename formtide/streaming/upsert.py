@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructType
 
 from formtide.operators.changes import latest_per_key
+from formtide.sources.tables import is_missing
 
 
 @dataclass(frozen=True)
@@ -74,5 +75,7 @@ class SyncedTable:
     def _folder(self, name: str, schema: StructType) -> DataFrame:
         try:
             return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
-        except AnalysisException:
+        except AnalysisException as error:
+            if not is_missing(error):
+                raise
             return self.spark.createDataFrame([], schema)

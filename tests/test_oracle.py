@@ -6,6 +6,7 @@ import pytest
 from oracle import connect, duck_rows, spark_rows
 
 import __spark_entry__ as driver
+from formtide.plans import checks
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="test tables are not there")
@@ -21,8 +22,8 @@ def test_query(spark, con, name):
     assert spark_rows(driver.queries()[name](spark, FOLDER)) == duck_rows(con, driver.oracle_sql()[name])
 
 
-def test_only_fitted_models_lack_an_oracle():
-    assert set(driver.queries()) - set(driver.oracle_sql()) == {"train_score", "score_batch"}
+def test_every_own_query_has_an_oracle():
+    assert set(checks.QUERIES) == set(checks.ORACLES)
 
 
 def test_entry(spark):
