@@ -4,6 +4,9 @@ A seed is a window of words of which a fixed mask ignores some places, so that s
 Seeds of benchmark items and of documents are joined by hash; around each hit the two texts are compared word by word on
 the same diagonal, and a copy is a stretch in which enough words agree.
 
+The masks depend on the length of the item and lose nothing: however the words that may differ lie in a stretch, one mask
+fits between them. Tests count this over all places of substitutions.
+
 Documents only shuffle seeds that may occur in the benchmark: a bitmap of fixed size of all benchmark seeds goes to every
 task. It has no misses, and where a benchmark outgrows it, more seeds are shuffled but none is lost.
 """
@@ -20,22 +23,49 @@ from pyspark.sql import functions as F
 from formtide.llm.bitmap import marked, may_hold
 from formtide.llm.tokens import LETTERS, buffers, slices, window_hashes, word_hashes
 
-#: Places of a window that count, by mask. All masks have one span.
-MASKS = ((0, 1, 2, 4, 7, 9, 10), (0, 1, 3, 6, 7, 8, 10), (0, 2, 3, 5, 6, 9, 10))
-SPAN = 11
+#: Places of a window that count, by mask, for items of SPAN to LONG - 1 words: any four of five.
+MASKS = ((0, 1, 2, 3), (0, 1, 2, 4), (0, 1, 3, 4), (0, 2, 3, 4), (1, 2, 3, 4))
+SPAN = 5
+#: Masks for items of LONG words or more. Items with fewer words than SPAN are seeds as a whole.
+LONG_MASKS = ((0, 1, 2, 3, 5, 6), (0, 1, 3, 7, 10, 11), (0, 4, 6, 10, 11, 12), (0, 3, 4, 5, 7, 10))
+LONG = 15
 #: Words of the stretch that is compared (the whole item, if shorter) and the share of them that must agree.
 STRETCH = 20
 AGREE = 0.8
 #: Bits of the bitmap, as a power of two: 4 MB whatever the size of the benchmark.
 BITMAP = 25
-_REACH = STRETCH - SPAN
+_WHOLE = tuple(tuple(range(n)) for n in range(1, SPAN))
+#: All masks, each with the fewest and most words of the items that have it. Masks of one shape are one.
+_SHAPES = tuple(dict.fromkeys(tuple(j - m[0] for j in m) for m in MASKS))
+_SEEDS = (
+    *((m, len(m), len(m)) for m in _WHOLE),
+    *((m, SPAN, LONG - 1) for m in _SHAPES),
+    *((m, LONG, None) for m in LONG_MASKS),
+)
+#: Words before a seed that a stretch around it may begin with. Items that are seeds as a whole begin with it.
+_REACH = STRETCH - min(m[-1] + 1 for m in (*_SHAPES, *LONG_MASKS))
 _SEED = "seed long, {key}, place int, n_words int, around array<long>"
 
 
-def _seeds(rows: DataFrame, key: str, kind: str, marks=None) -> DataFrame:
+def _used(benchmark: DataFrame) -> tuple[int, ...]:
+    """Numbers of the masks that the items need, by their lengths; at most LONG lengths reach the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            texts = word_hashes(*buffers(batch.column("text")), LETTERS)[1]
+            sizes = np.unique(np.minimum(np.bincount(texts, minlength=len(batch)), LONG))
+            yield pa.RecordBatch.from_arrays([pa.array(sizes.astype(np.int32))], ["size"])
+
+    texts = benchmark.select(F.col("text").cast("string").alias("text"))
+    sizes = [r["size"] for r in texts.mapInArrow(run, "size int").distinct().collect()]
+    return tuple(k for k, (_, least, most) in enumerate(_SEEDS) if any(least <= n <= (most or n) for n in sizes))
+
+
+def _seeds(rows: DataFrame, key: str, kind: str, used: tuple[int, ...], marks=None) -> DataFrame:
     """(seed, key, place, n_words, around) of the seeds of ``rows`` (key, text); ``around`` are the words near the seed.
 
-    With ``marks``, a broadcast bitmap, only seeds that it holds. Texts shorter than a span have none.
+    Without ``marks`` the rows are items, with the masks of their lengths. With ``marks``, a broadcast bitmap, they are
+    texts with all ``used`` masks, and only seeds that it holds; a whole item that recurs in a text is one seed.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -44,11 +74,19 @@ def _seeds(rows: DataFrame, key: str, kind: str, marks=None) -> DataFrame:
             words, texts = word_hashes(data, offsets, LETTERS)
             firsts = np.searchsorted(texts, np.arange(len(batch) + 1))
             found = []
-            for salt, mask in enumerate(MASKS):
+            sizes = np.diff(firsts)
+            for salt in used:
+                mask, least, most = _SEEDS[salt]
                 seeds, at = window_hashes(words, texts, mask, salt)
                 if marks is not None:
                     hit = may_hold(marks.value, seeds, BITMAP)
-                    seeds, at = seeds[hit], at[hit]
+                else:
+                    n = sizes[texts[at]]
+                    hit = (n >= least) & (n <= (most or n))
+                seeds, at = seeds[hit], at[hit]
+                if marks is not None and len(mask) == most:
+                    first = np.unique(np.stack([seeds, texts[at].astype(np.uint64)]), axis=1, return_index=True)[1]
+                    seeds, at = seeds[first], at[first]
                 found.append((seeds, at))
             seeds, at = (np.concatenate([x[k] for x in found]) for k in (0, 1))
             for k in range(0, max(len(seeds), 1), 20_000):
@@ -92,12 +130,14 @@ def copies(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(key, item_id, agree) of the items that stand in a text; key is the hash of the text, as ``text_key`` has it.
 
     ``agree`` is the most words of a stretch that agree. Words are runs of letters, digits and non-ASCII characters, A-Z
-    lower-cased. Items with fewer words than a span are too short to tell and are never found; null texts have no words.
+    lower-cased. Items with fewer words than a span are found where all their words stand; null texts have no words, and
+    items without words are never found.
     """
     spark = docs.sparkSession
-    items = _seeds(benchmark.select("item_id", "text"), "item_id", benchmark.schema["item_id"].dataType.simpleString())
+    used = _used(benchmark)
+    items = _seeds(benchmark.select("item_id", "text"), "item_id", benchmark.schema["item_id"].dataType.simpleString(), used)
     marks = spark.sparkContext.broadcast(marked(items, "seed", BITMAP))
-    seeds = _seeds(docs.select(text_key().alias("key"), "text"), "key", "string", marks)
+    seeds = _seeds(docs.select(text_key().alias("key"), "text"), "key", "string", used, marks)
     items = items.select(
         "seed", "item_id", F.col("n_words").alias("item_words"), F.col("around").alias("item_around"), F.col("place").alias("item_place")
     )

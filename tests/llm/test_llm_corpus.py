@@ -1,5 +1,6 @@
 """Operators on whole corpora: Jaccard join, decontamination, repeated strings, components, and the pipeline."""
 
+import itertools
 import random
 from collections import Counter
 
@@ -113,6 +114,56 @@ def test_decontamination(spark):
     assert decontaminate.drop_contaminated(docs, bench.limit(0)).count() == docs.count()
 
 
+def test_every_tolerated_substitution_is_seeded():
+    """All places of the words that may differ, for every length, without hashes."""
+    for n in range(1, 61):
+        size = min(n, decontaminate.STRETCH)
+        masks = [m for m, least, most in decontaminate._SEEDS if least <= n <= (most or n)]
+        windows = [{at + j for j in m} for m in masks for at in range(size - m[-1])]
+        need = -(-round(100 * decontaminate.AGREE) * size // 100)
+        for changed in itertools.combinations(range(size), size - need):
+            assert any(w.isdisjoint(changed) for w in windows), (n, changed)
+
+
+def on_all_diagonals(docs: list[tuple], items: list[tuple]) -> dict:
+    """id -> sorted items, by comparing every stretch of every diagonal; words are blank-separated."""
+    out = {}
+    for d, t in docs:
+        w, got = t.split(), []
+        for i, text in items:
+            b = text.split()
+            need = -(-round(100 * decontaminate.AGREE) * min(decontaminate.STRETCH, len(b)) // 100)
+            for shift in range(-len(b) + 1, len(w)):
+                same = [0 <= shift + k < len(w) and w[shift + k] == b[k] for k in range(len(b))]
+                if max(sum(same[k : k + decontaminate.STRETCH]) for k in range(len(b))) >= need:
+                    got.append(i)
+                    break
+        out[d] = sorted(got)
+    return out
+
+
+def test_decontamination_finds_all_that_agrees(spark):
+    """Items of every length with as many substituted words as may differ or one more, cut by the ends of texts or not."""
+    r = random.Random(12)
+    items = [(n, " ".join(f"i{n}w{k}" for k in range(n))) for n in [*range(1, 23), 40]]
+    rows = []
+    for n, text in items:
+        size = min(n, decontaminate.STRETCH)
+        for extra in (0, 0, 0, 0, 1):
+            start = r.randint(0, n - size)
+            words = text.split()[start : start + size]
+            for k in r.sample(range(size), size - -(-80 * size // 100) + extra):
+                words[k] = "changed"
+            around = [f"o{k}" for k in range(r.choice([0, 0, 2, 25]))]
+            rows.append((len(rows), " ".join([*around, *words, *around[: r.choice([0, 30])]])))
+        rows.append((len(rows), " ".join(text.split()[: -(-80 * size // 100)])))
+    rows.append((len(rows), "i1w0 i2w0 i2w1 " * 500))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    expected = on_all_diagonals(rows, items)
+    assert {r.doc_id: r["items"] for r in decontaminate.contamination(frame(spark, rows), bench).collect()} == expected
+    assert {i for found in expected.values() for i in found} == {n for n, _ in items}
+
+
 def repeating_texts() -> list[tuple]:
     r = random.Random(2)
     words = ["the", "and", "alpha", "é", "beta", "gamma", "x" * 30]
