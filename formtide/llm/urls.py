@@ -9,6 +9,7 @@ block is bad. Built-in column functions only.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,8 +17,6 @@ from pyspark.sql import functions as F
 from formtide.operators.sizing import broadcast_if_small
 from formtide.session import materialize
 
-#: Levels of the tree; what lies deeper is one "**".
-DEPTH = 3
 #: A node with more branches than this is variable, and its branches below an even share become "*".
 BRANCHES = 20
 #: Labels that a branch needs to be compared with its node, and the squared z score up to which it is similar.
@@ -61,33 +60,41 @@ def matching_rule(rules: tuple[Rule, ...], host: Column, path: Column) -> tuple[
     return text, verdict
 
 
-def pattern(path: Column, depth: int = DEPTH) -> Column:
-    """Segments with digits generalised, joined by slashes."""
-    solid = F.filter(F.split(F.regexp_replace(path, "[0-9]+", "{n}"), "/"), lambda s: s != "")
-    return F.when(F.size(solid) > depth, F.concat(F.slice(solid, 1, depth), F.array(F.lit("**")))).otherwise(solid)
+def pattern(path: Column) -> Column:
+    """All segments with digits generalised."""
+    return F.filter(F.split(F.regexp_replace(path, "[0-9]+", "{n}"), "/"), lambda s: s != "")
 
 
-def templates(patterns: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(host, segments, template) from rows (host, segments, pages, good, bad), one per host and pattern."""
-    rows = patterns.withColumn("template", F.lit(""))
+def templates(patterns: DataFrame) -> DataFrame:
+    """``patterns`` with their template, from rows (host, segments, pages, good, bad), one per host and pattern.
+
+    Goes on level by level while a pattern has a segment left. A pattern that is alone below its node has no other branch
+    to be compared with at any deeper level, so its other segments stay as they are and it leaves at once.
+    """
+    rows = materialize(patterns.withColumns({"template": F.lit(""), "ended": F.size("segments") == 0}), "templates")
+    ended, level = [rows.filter("ended")], 0
     sums = [F.sum(c).alias(c) for c in ("pages", "good", "bad")]
-    for level in range(depth):
-        rows = materialize(rows.withColumn("segment", F.get("segments", F.lit(level))), "templates")
-        branches = rows.filter("segment IS NOT NULL").groupBy("host", "template", "segment").agg(*sums)
+    while not (rows := rows.filter("NOT ended")).isEmpty():
+        rows = rows.withColumn("segment", F.get("segments", F.lit(level)))
+        branches = rows.groupBy("host", "template", "segment").agg(F.count("*").alias("patterns"), *sums)
         nodes = branches.groupBy("host", "template").agg(
-            F.count("*").alias("n"), F.sum("pages").alias("all"), F.sum("good").alias("g"), F.sum("bad").alias("b")
-        )
+            F.count("*").alias("n"), F.sum("pages").alias("all"), F.sum("good").alias("g"), F.sum("bad").alias("b"),
+            (F.sum("patterns") == 1).alias("alone"),
+        )
         labels, known = F.col("good") + F.col("bad"), F.col("g") + F.col("b")
         rate, node = (F.col("good") + 0.5) / (labels + 1), (F.col("g") + 0.5) / (known + 1)
         variable = (F.col("n") > BRANCHES) & (F.col("pages") * BRANCHES < F.col("all"))
         similar = (F.col("n") > 1) & (labels >= MIN_LABELS) & ((rate - node) * (rate - node) * labels <= SIMILAR * node * (1 - node))
         chosen = F.when(variable | similar, F.lit("*")).otherwise(F.col("segment"))
-        steps = branches.join(nodes, ["host", "template"]).select("host", "template", "segment", chosen.alias("step"))
-        joined = rows.join(steps, ["host", "template", "segment"], "left")
-        rows = joined.withColumn("template", F.concat("template", F.coalesce(F.concat(F.lit("/"), "step"), F.lit(""))))
-        rows = rows.drop("segment", "step")
-    deep = F.when(F.size("segments") > depth, F.concat("template", F.lit("/**"))).otherwise(F.col("template"))
-    return rows.withColumn("template", deep)
+        steps = branches.join(nodes, ["host", "template"]).select("host", "template", "segment", chosen.alias("step"), "alone")
+        joined = rows.join(steps, ["host", "template", "segment"])
+        rest = F.array_join(F.slice("segments", F.lit(level + 1), F.size("segments")), "/")
+        level += 1
+        template = F.concat("template", F.lit("/"), F.when(F.col("alone"), rest).otherwise(F.col("step")))
+        rows = joined.withColumns({"template": template, "ended": F.col("alone") | (F.size("segments") <= level)})
+        rows = materialize(rows.drop("segment", "step", "alone"), "templates")
+        ended.append(rows.filter("ended"))
+    return reduce(DataFrame.unionByName, ended).drop("ended")
 
 
 def filter_urls(pages: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:

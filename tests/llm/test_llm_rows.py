@@ -211,6 +211,49 @@ def test_urls(spark):
     assert urls.filter_urls(frame.limit(0), RULES).count() == 0
 
 
+def test_url_branches_at_any_depth(spark):
+    """A bad branch on level 4 or 9 is told from the good one beside it, also for urls without a rule."""
+    stems = ["h.org/a/b/c", "d.org/" + "/".join("abcdefgh")]
+    rules = tuple(urls.Rule(v, f"{s}/{b}/1") for s in stems for v, b in (("allow", "good"), ("block", "spam")))
+    given = [f"http://{s}/{b}/{n}" for s in stems for b in ("good", "spam") for n in (2, *range(10, 20))]
+    frame = spark.createDataFrame(list(enumerate(given)), "page_id long, url string")
+    got = {given[r.page_id]: (r.verdict, r.template, r.n_labels) for r in urls.filter_urls(frame, rules).collect()}
+    for s in stems:
+        host, _, path = s.partition("/")
+        for branch, verdict in (("good", "allow"), ("spam", "block")):
+            assert got[f"http://{host}/{path}/{branch}/2"] == (verdict, f"/{path}/{branch}/{{n}}", 10)
+
+
+def test_url_templates_level_by_level(spark):
+    """Against a plain version that walks every pattern to its last segment."""
+    r = random.Random(4)
+    seen = {}
+    for _ in range(900):
+        size = r.choice([0, 1, 2, 4, 6, 9])
+        segments = tuple(r.choice(["a", "b", "*"]) if k % 3 else f"s{r.choice('xyz') if r.random() < 0.7 else r.randrange(60)}" for k in range(size))
+        good = r.randrange(9)
+        seen["h" + r.choice("12"), segments] = (good + 5, good, r.randrange(5))
+    found = dict.fromkeys(seen, "")
+    for level in range(9):
+        branches, nodes = {}, {}
+        live = [k for k in seen if len(k[1]) > level]
+        for k in live:
+            node = k[0], found[k]
+            branches.setdefault(node, {}).setdefault(k[1][level], []).append(seen[k])
+            nodes.setdefault(node, []).append(seen[k])
+        for k in live:
+            node = k[0], found[k]
+            (pages, good, bad), (total, g, b) = (tuple(map(sum, zip(*x))) for x in (branches[node][k[1][level]], nodes[node]))
+            n, rate, mean = len(branches[node]), (good + 0.5) / (good + bad + 1), (g + 0.5) / (g + b + 1)
+            variable = n > urls.BRANCHES and pages * urls.BRANCHES < total
+            similar = n > 1 and good + bad >= urls.MIN_LABELS and (rate - mean) ** 2 * (good + bad) <= urls.SIMILAR * mean * (1 - mean)
+            found[k] += "/" + ("*" if variable or similar else k[1][level])
+    rows = [(h, list(s), *n) for (h, s), n in seen.items()]
+    frame = spark.createDataFrame(rows, "host string, segments array<string>, pages long, good long, bad long")
+    got = urls.templates(frame).collect()
+    assert len(got) == len(seen) and {(x.host, tuple(x.segments)): x.template for x in got} == found
+
+
 def test_shards(spark, docs, empty):
     got = shards.shard_documents(docs, 24).collect()
     assert Counter((r.doc_id, r.size, r.text_crc32) for r in got) == Counter(
