@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from formtide.llm import bpe, decontaminate, jaccard, licenses, lines, pii, quality, shards, substrings, urls
+from formtide.llm import audit, bpe, decontaminate, jaccard, licenses, lines, pii, prefixes, quality, shards, substrings, urls
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -88,6 +88,16 @@ def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(spark, folder, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """The prefix trie of ``conversations`` after each takes its first turns from another."""
+    return prefixes.trie(table(spark, folder, "conversations"))
+
+
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """What each of five filters does at every step of every order, by source of ``documents``."""
+    return audit.interactions(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 QUERIES = {
     "op1_lines": op1_lines,
     "op2_decontamination": op2_decontamination,
@@ -99,6 +109,8 @@ QUERIES = {
     "op8_shards": op8_shards,
     "op9_jaccard": op9_jaccard,
     "op10_licenses": op10_licenses,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_filter_audit": op12_filter_audit,
 }
 
 LINES_SQL = """
@@ -217,3 +229,65 @@ FROM judged j JOIN known k ON k.host = j.host AND k.s = j.s JOIN purity p ON p.h
 
 
 ORACLES["op5_urls"] = _urls_sql()
+
+ORACLES["op12_filter_audit"] = r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+                  list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+     marks AS (SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic
+               FROM labels GROUP BY doc_id),
+     f AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+                  CASE WHEN len(w) < 200 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 2 ELSE 0 END
+                  + CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 2 * length(t) THEN 4 ELSE 0 END
+                  + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+                  + CASE WHEN d.doc_id > min(d.doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END AS bits
+           FROM d LEFT JOIN marks ON marks.doc_id = d.doc_id),
+     cells AS (SELECT part, bits, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM f GROUP BY ALL),
+     letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+     orders AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+                FROM letters a, letters b, letters c, letters d, letters e
+                WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+     bit AS (SELECT filter_order, step::INT AS step,
+                    (1 << (ascii(filter_order[step]) - 65)) AS own,
+                    coalesce(list_sum(list_transform(range(1, step), lambda k: 1 << (ascii(filter_order[k]) - 65))), 0)::INT AS before
+             FROM orders, (SELECT unnest(range(1, 6)) AS step)),
+     steps AS (
+         SELECT part, filter_order, step, own,
+                coalesce(sum(n) FILTER (bits & (own | before) = 0), 0)::BIGINT AS kept,
+                coalesce(sum(n) FILTER (bits & own <> 0 AND bits & before = 0), 0)::BIGINT AS removed,
+                coalesce(sum(n) FILTER (bits & own <> 0 AND bits & before <> 0), 0)::BIGINT AS redundant,
+                coalesce(sum(n) FILTER (bits = own), 0)::BIGINT AS unique_fails,
+                coalesce(sum(good) FILTER (bits & own <> 0 AND bits & before = 0), 0)::BIGINT AS good_lost,
+                coalesce(sum(toxic) FILTER (bits & own <> 0 AND bits & before = 0), 0)::BIGINT AS toxic_lost
+         FROM cells, bit GROUP BY ALL)
+SELECT * EXCLUDE (own), (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley FROM steps
+"""
+
+ORACLES["op11_prefix_trie"] = r"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+     k AS (SELECT *, strlen(text) AS size, strlen(role) || ':' || role || text AS kind FROM t),
+     turns AS (SELECT conv_id, size, dense_rank() OVER (ORDER BY kind) AS id,
+                      row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(kind)) AS pos FROM k),
+     convs AS (SELECT conv_id, conv_id - conv_id % 5 AS base, list_reduce(list_concat([4294967295::BIGINT],
+                      list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+                      lambda a, b: list_reduce(list_concat([xor(a, b)], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                                               lambda x, y: xor(x >> 1, (x & 1) * 3988292384::BIGINT + y))) AS crc
+               FROM (SELECT DISTINCT conv_id FROM turns)),
+     h AS (SELECT conv_id, base, xor(crc, 4294967295::BIGINT) % 9 AS h FROM convs),
+     whole AS (SELECT h.conv_id, 0 AS own, pos, id, size FROM h JOIN turns ON turns.conv_id = h.base WHERE pos <= h
+               UNION ALL SELECT h.conv_id, 1, pos, id, size FROM h JOIN turns USING (conv_id) WHERE pos > h),
+     lists AS (SELECT conv_id, list(id ORDER BY own, pos) AS ids, list(size ORDER BY own, pos) AS sizes FROM whole GROUP BY conv_id),
+     paths AS (SELECT conv_id, coalesce(ids, []) AS ids, coalesce(sizes, []) AS sizes FROM h LEFT JOIN lists USING (conv_id)),
+     steps AS (SELECT conv_id, depth, depth = len(ids) AS ends, sha256(ids[1:depth]::VARCHAR) AS node,
+                      CASE WHEN depth > 0 THEN sha256(ids[1:depth - 1]::VARCHAR) END AS parent, coalesce(sizes[depth], 0) AS size
+               FROM (SELECT *, unnest(range(0, len(ids) + 1)) AS depth FROM paths)),
+     nodes AS (SELECT node, parent, depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * min(size) AS weight,
+                      sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+               FROM steps GROUP BY node, parent, depth),
+     below AS (SELECT parent AS node, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+     family AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN below USING (node)),
+     sums AS (SELECT s.node, count(*) FILTER (f.n_children = 0) AS n_leaves, sum(f.weight) AS saved
+              FROM family f JOIN steps s ON s.conv_id = f.conv_id AND s.depth <= f.depth GROUP BY s.node)
+SELECT f.conv_id, f.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves,
+       saved::BIGINT AS saved_tokens, f.ends_sha256
+FROM family f JOIN sums ON sums.node = f.node LEFT JOIN nodes p ON p.node = f.parent
+"""
