@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from formtide.llm import audit, bpe, decontaminate, jaccard, licenses, lines, pii, prefixes, quality, shards, substrings, urls
+from formtide.llm import audit, bpe, decontaminate, jaccard, katz, licenses, lines, pii, prefixes, quality, shards, substrings, urls
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -98,6 +98,11 @@ def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
     return audit.interactions(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op13_katz(spark: SparkSession, folder: str) -> DataFrame:
+    """Every text of ``documents`` under a Katz backoff model of the six sevenths that it is trained on."""
+    return katz.score_documents(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_lines": op1_lines,
     "op2_decontamination": op2_decontamination,
@@ -111,6 +116,7 @@ QUERIES = {
     "op10_licenses": op10_licenses,
     "op11_prefix_trie": op11_prefix_trie,
     "op12_filter_audit": op12_filter_audit,
+    "op13_katz": op13_katz,
 }
 
 LINES_SQL = """
