@@ -18,7 +18,7 @@ from formtide.plans.standin import MATCHES_SQL, matches, table
 from formtide.session import materialize, shared_dir
 from formtide.sources import records
 from formtide.sources.csv import typed_results
-from formtide.sources.tables import FeatureTable, key_violations
+from formtide.sources.tables import FeatureTable, TableStore, key_violations
 from formtide.streaming.upsert import SyncedTable
 
 TRAINED_TO = "1999-12-31"
@@ -636,6 +636,86 @@ def change_feed(spark: SparkSession, folder: str) -> DataFrame:
     return changes.change_feed(_snapshot(old), _snapshot(new), ["user_id", "k"])
 
 
+def _window_sql(first: str | None, last: str | None) -> str:
+    """Newest event per user and k of a span of days."""
+    spans = [f"ts >= TIMESTAMP '{first}'" if first else "true", f"ts < TIMESTAMP '{last}'" if last else "true"]
+    return f"""(SELECT user_id, k, arg_max(event_type, (ts, event_id)) AS event_type, arg_max(value, (ts, event_id)) AS value
+      FROM (SELECT *, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events)
+      WHERE {" AND ".join(spans)} GROUP BY user_id, k)"""
+
+
+def _window(spark: SparkSession, folder: str, first: str | None, last: str | None) -> DataFrame:
+    events, day = table(spark, folder, "events"), lambda text: F.lit(text).cast("timestamp_ntz")
+    if first:
+        events = events.where(F.col("ts") >= day(first))
+    return _snapshot(events.where(F.col("ts") < day(last)) if last else events)
+
+
+def _diff_sql(old: str, new: str, version: int) -> str:
+    return f"""
+    SELECT unnest(CASE WHEN o.user_id IS NULL THEN [row(n.user_id, n.k, n.event_type, n.value, 'insert')]
+                       WHEN n.user_id IS NULL THEN [row(o.user_id, o.k, o.event_type, o.value, 'delete')]
+                       ELSE [row(o.user_id, o.k, o.event_type, o.value, 'update_preimage'),
+                             row(n.user_id, n.k, n.event_type, n.value, 'update_postimage')] END) AS r, {version} AS version
+    FROM {old} o FULL JOIN {new} n ON o.user_id = n.user_id AND o.k = n.k
+    WHERE o.user_id IS NULL OR n.user_id IS NULL
+       OR o.event_type IS DISTINCT FROM n.event_type OR o.value IS DISTINCT FROM n.value"""
+
+
+#: Spans of days whose newest events are the versions of a table: rows come, change and go from each to the next.
+SPANS = ((None, "2024-01-12"), ("2024-01-05", "2024-01-18"), ("2024-01-10", "2024-01-22"), ("2024-01-15", "2024-01-26"),
+         ("2024-01-20", None), ("2024-01-08", "2024-01-24"), ("2024-01-12", "2024-01-28"))
+EVENT_KEYS = ["user_id", "k"]
+
+
+def _versioned(spark: SparkSession, folder: str, versions: int) -> TableStore:
+    """A store in which the table ``newest`` has that many versions."""
+    store = TableStore(spark, "events", "newest", f"{shared_dir(spark)}/versions-{uuid.uuid4().hex}")
+    for span in SPANS[:versions]:
+        store.create_keyed(_window(spark, folder, *span), "newest", EVENT_KEYS, replace=store.exists("newest"))
+    return store
+
+
+@query(
+    f"""
+    SELECT 'reader' AS read_by, * FROM {_window_sql(*SPANS[0])}
+    UNION ALL SELECT 'number', * FROM {_window_sql(*SPANS[0])}
+    UNION ALL SELECT 'newest', * FROM {_window_sql(*SPANS[1])}
+    """
+)
+def keyed_table_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """A table is replaced while a reader of the version before goes on."""
+    store = _versioned(spark, folder, 1)
+    reader = store.keyed("newest", EVENT_KEYS).df
+    store.create_keyed(_window(spark, folder, *SPANS[1]), "newest", EVENT_KEYS, replace=True)
+    return tagged("read_by", reader=reader, number=store.read("newest", version=1), newest=store.read("newest"))
+
+
+@query(
+    "SELECT r[1] AS user_id, r[2] AS k, r[3] AS event_type, r[4] AS value, r[5] AS change_type, CAST(version AS BIGINT) AS version FROM ("
+    + " UNION ALL ".join(_diff_sql(_window_sql(*SPANS[v - 2]), _window_sql(*SPANS[v - 1]), v) for v in (2, 3))
+    + ")"
+)
+def table_change_feed(spark: SparkSession, folder: str) -> DataFrame:
+    """The logged changes of a stored table from its first version to its third."""
+    return _versioned(spark, folder, 3).versions("newest", EVENT_KEYS).changes(1, 3)
+
+
+@query(f"SELECT * FROM {_window_sql(*SPANS[-1])}")
+def upsert_with_deletes(spark: SparkSession, folder: str) -> DataFrame:
+    """A copy of a table's first version that follows its change log to the last, a file a micro-batch."""
+    return _followed(spark, folder).read().drop("version")
+
+
+def _followed(spark: SparkSession, folder: str) -> SyncedTable:
+    source = _versioned(spark, folder, len(SPANS)).versions("newest", EVENT_KEYS)
+    first, changes = source.read(1), source.change_stream(maxFilesPerTrigger=1)
+    copy = SyncedTable(spark, f"{source.place}/copy", changes.schema, tuple(EVENT_KEYS), ("version",), tombstone="deleted")
+    copy.start_from(first)
+    copy.sync(changes).awaitTermination()
+    return copy
+
+
 @query(
     """
     SELECT event_id, ts, user_id, event_type, value, props FROM events
