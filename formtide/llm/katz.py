@@ -36,10 +36,10 @@ from formtide.session import materialize
 #: Largest count that is discounted.
 GOOD_TURING = 5
 #: Tokens of a piece, about, and of a bucket of bigrams, about.
-PIECE = 2_000_000
-BUCKET = 5_000_000
+PIECE = 1_000_000
+BUCKET = 3_000_000
 #: Words of the pieces in one bucket of the vocabulary, about.
-WORDS = 1_500_000
+WORDS = 800_000
 #: Pieces in one partition.
 TOGETHER = 4
 #: Bytes of text that are split into words at a time.
