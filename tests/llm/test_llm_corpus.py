@@ -47,7 +47,7 @@ def test_components(spark):
     assert {x.node: x.component for x in got} == root and len(got) == len(root)
 
 
-@pytest.mark.parametrize("listed", [32, 2])
+@pytest.mark.parametrize("listed", [32, 4, 2])
 def test_jaccard_join(spark, monkeypatch, listed):
     """With every pair of short rows at once, and with rows of the matrix that first meet one group only."""
     monkeypatch.setattr(jaccard, "LIST", listed)
