@@ -159,6 +159,14 @@ def _words(cell: bytes) -> list[bytes]:
     return joined.split(b"\n") if joined else []
 
 
+def _word_array(cells: pa.ChunkedArray) -> tuple[pa.Array, list[int]]:
+    """(the words of all cells one after the other, how many each cell has). No cell is empty."""
+    joined = [zstandard.ZstdDecompressor().decompress(c.as_py()) for c in cells]
+    whole = pa.array([b"\n".join(joined)] if joined else [], pa.large_binary())
+    words = pc.split_pattern(whole, pattern=b"\n").flatten().cast(pa.binary())
+    return words, [x.count(b"\n") + 1 for x in joined]
+
+
 def _dealt(words: list[bytes], buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """(buckets of the words in order, where each bucket's words are)."""
     bucket = np.fromiter(map(zlib.crc32, words), np.uint32, len(words)) % np.uint32(buckets)
@@ -194,7 +202,7 @@ def vocabulary(made: DataFrame, buckets: int) -> DataFrame:
     """(id, word, n) of the words of training documents, numbered from FIRST on, the most frequent first."""
 
     def combine(table: pa.Table) -> pa.Table:
-        words = pa.array([w for cell in table["words"].to_pylist() for w in _words(cell)], pa.binary())
+        words, _ = _word_array(table["words"])
         counts = np.concatenate([unpack(c) for c in table["counts"].to_pylist()]).astype(np.int64)
         found = pa.table({"word": words, "n": pa.array(counts)}).group_by("word").aggregate([("n", "sum")])
         found = found.select(["word", "n_sum"]).rename_columns(["word", "n"])
@@ -279,11 +287,10 @@ def encoded(made: DataFrame, words: DataFrame, buckets: int, partitions: int) ->
         known = table.filter(table["piece"].is_null())
         asked = table.filter(table["piece"].is_valid())
         kinds, ids = known["words"].combine_chunks(), np.append(known["id"].to_numpy(), UNKNOWN)
-        out = []
-        for cell in asked["words"]:
-            at = pc.index_in(pa.array(_words(cell.as_py()), pa.binary()), value_set=kinds).fill_null(len(kinds)).to_numpy()
-            out.append(pack(ids[at]))
-        return pa.table([asked["piece"], asked["bucket"], pa.array(out, pa.binary())], ["piece", "bucket", "ids"])
+        words, sizes = _word_array(asked["words"])
+        found = ids[pc.index_in(words, value_set=kinds).fill_null(len(kinds)).to_numpy()]
+        cells = [pack(x) for x in np.split(found, np.cumsum(sizes)[:-1])] if sizes else []
+        return pa.table([asked["piece"], asked["bucket"], pa.array(cells, pa.binary())], ["piece", "bucket", "ids"])
 
     none = F.lit(None)
     asked = _asked(made, buckets).select("bucket", "piece", "words", none.cast("long").alias("id"))
