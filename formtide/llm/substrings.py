@@ -31,7 +31,7 @@ KMER = 14
 #: Input bytes of one bucket, about.
 BUCKET = 6_000_000
 #: Bytes that a task combines at a time.
-PIECE = 1 << 20
+PIECE = 1 << 19
 #: Pieces whose stretches are packed together.
 HELD = 4
 #: Depth of the multikey quicksort, in letters of eight bytes; blind tries order what lies deeper.
