@@ -22,9 +22,7 @@ def op1_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Boilerplate lines of each source, dropped from the texts of ``documents``."""
     docs = table(spark, folder, "documents").select("doc_id", "source", "text")
     kept = lines.drop_boilerplate(docs, host="source", counts=True)
-    return kept.select(
-        "doc_id", "source", "n_lines", "n_boilerplate", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
-    )
+    return kept.select("doc_id", "source", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
 def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
@@ -120,27 +118,25 @@ QUERIES = {
 }
 
 LINES_SQL = """
-WITH docs AS (SELECT doc_id, coalesce(source, '') AS host, text, string_split(coalesce(text, ''), chr(10)) AS parts
+WITH docs AS (SELECT doc_id, coalesce(source, '') AS host, coalesce(text, '') AS page, string_split(coalesce(text, ''), chr(10)) AS parts
               FROM documents),
-     lines AS (SELECT doc_id, host, unnest(parts) AS line, generate_subscripts(parts, 1) AS pos FROM docs),
+     lines AS (SELECT doc_id, host, page, unnest(parts) AS line, generate_subscripts(parts, 1) AS pos FROM docs),
      boiler AS (
-         SELECT host, trim(line) AS line FROM lines JOIN (SELECT host, count(*) AS total FROM docs GROUP BY host) USING (host)
+         SELECT host, trim(line) AS line FROM lines JOIN (SELECT host, count(DISTINCT page) AS total FROM docs GROUP BY host) USING (host)
          WHERE trim(line) <> '' GROUP BY host, trim(line), total
-         HAVING count(DISTINCT doc_id) >= 5 AND count(DISTINCT doc_id) > 0.1 * total),
+         HAVING count(DISTINCT page) > 1 AND count(DISTINCT page) > 0.1 * total),
      flags AS (
-         SELECT l.doc_id, l.line, l.pos, length(trim(l.line)) AS size, trim(l.line) <> '' AS solid, b.line IS NOT NULL AS hit
+         SELECT l.doc_id, l.line, l.pos, trim(l.line) <> '' AS solid, b.line IS NOT NULL AS hit
          FROM lines l LEFT JOIN boiler b ON b.host = l.host AND b.line = trim(l.line)),
      pages AS (
-         SELECT doc_id, count(*) FILTER (solid) AS n_lines, count(*) FILTER (hit) AS n_boilerplate,
-                coalesce(sum(size) FILTER (hit), 0) > 0.5 * sum(size) AS spared,
+         SELECT doc_id, count(*) FILTER (solid) AS n_lines, count(*) FILTER (hit) AS n_dropped,
                 coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT hit), '') AS rest
          FROM flags GROUP BY doc_id)
 """
 ORACLES: dict[str, str] = {
     "op1_lines": LINES_SQL
     + """
-SELECT doc_id, source, n_lines, n_boilerplate, CASE WHEN spared THEN 0 ELSE n_boilerplate END AS n_dropped,
-       sha256(CASE WHEN spared OR text IS NULL THEN coalesce(text, '') ELSE rest END) AS kept_sha256
+SELECT doc_id, source, n_lines, n_dropped, sha256(CASE WHEN text IS NULL THEN '' ELSE rest END) AS kept_sha256
 FROM pages JOIN documents USING (doc_id)
 """,
 }
@@ -180,7 +176,8 @@ FROM f
 )
 
 
-def _urls_sql() -> str:
+def _urls_sql(depth: int = 6) -> str:
+    """Down to ``depth`` segments; the given paths have two."""
     fits = lambda r: f"((host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}'))"
     by_length = sorted(RULES, key=lambda r: -len(r.text))
     rule = "CASE " + " ".join(f"WHEN {fits(r)} THEN '{r.text}'" for r in by_length) + " END"
@@ -191,45 +188,45 @@ WITH split AS (
                                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
                 regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path
          FROM pages),
-     pieces AS (
+     judged AS (
          SELECT page_id, host, path, {rule} AS rule, {given} AS given,
                 list_filter(string_split(regexp_replace(path, '[0-9]+', '{{n}}', 'g'), '/'), lambda s: s <> '') AS s FROM split),
-     judged AS (
-         SELECT page_id, host, path, rule, given, CASE WHEN len(s) > 3 THEN list_append(s[1:3], '**') ELSE s END AS s FROM pieces),
+     counts AS (
+         SELECT host, s, count(*) AS pages, count(*) FILTER (given = 'allow') AS good, count(*) FILTER (given = 'block') AS bad
+         FROM judged GROUP BY host, s),
      t0 AS (
-         SELECT host, s, count(*) AS pages, count(*) FILTER (given = 'allow') AS good, count(*) FILTER (given = 'block') AS bad,
-                '' AS template
-         FROM judged GROUP BY host, s)"""
-    for k in range(1, 4):
+         SELECT *, '' AS template,
+                (SELECT coalesce(sum(good)::DOUBLE / nullif(sum(good + bad), 0), 1.0::DOUBLE) FROM counts) AS above FROM counts)"""
+    for k in range(1, depth + 1):
         sql += f""",
      b{k} AS (
          SELECT host, template, s[{k}] AS seg, sum(pages) AS pages, sum(good) AS good, sum(bad) AS bad
          FROM t{k - 1} WHERE len(s) >= {k} GROUP BY ALL),
      n{k} AS (
-         SELECT host, template, count(*) AS n, sum(pages) AS total, (sum(good) + 0.5::DOUBLE) / (sum(good) + sum(bad) + 1) AS node
+         SELECT host, template, count(*) AS n, sum(pages) AS total, sum(good) AS g, sum(good) + sum(bad) AS known,
+                (sum(good) + 0.5::DOUBLE) / (sum(good) + sum(bad) + 1) AS node
          FROM b{k} GROUP BY ALL),
      c{k} AS (
-         SELECT b.host, b.template, seg, (good + 0.5::DOUBLE) / (good + bad + 1) AS rate,
+         SELECT b.host, b.template, seg, n, g, known, (good + 0.5::DOUBLE) / (good + bad + 1) AS rate,
                 CASE WHEN n > 20 AND pages * 20 < total THEN '*'
                      WHEN n > 1 AND good + bad >= 5
                           AND (rate - node) * (rate - node) * (good + bad)::DOUBLE <= 3.84::DOUBLE * node * (1 - node) THEN '*'
                      ELSE seg END AS step
          FROM b{k} b JOIN n{k} n ON n.host = b.host AND n.template = b.template),
      t{k} AS (
-         SELECT t.host, s, pages, good, bad, t.template || coalesce('/' || step, '') AS template
+         SELECT t.host, s, pages, good, bad, t.template || coalesce('/' || step, '') AS template,
+                CASE WHEN c.n > 1 THEN (g::DOUBLE + 5.0::DOUBLE * above) / (known::DOUBLE + 5.0::DOUBLE) ELSE above END AS above
          FROM t{k - 1} t LEFT JOIN c{k} c ON c.host = t.host AND c.template = t.template AND c.seg = s[{k}])"""
     return (
         sql
-        + """,
-     known AS (SELECT host, s, good, bad, template || CASE WHEN len(s) > 3 THEN '/**' ELSE '' END AS template FROM t3),
-     prior AS (SELECT coalesce(sum(good)::DOUBLE / nullif(sum(good + bad), 0), 1.0) AS p FROM known),
+        + f""",
      purity AS (
          SELECT host, template, sum(good + bad)::BIGINT AS n_labels,
-                (sum(good)::DOUBLE + 5.0::DOUBLE * (SELECT p FROM prior)) / (sum(good + bad)::DOUBLE + 5.0) AS purity
-         FROM known GROUP BY host, template)
+                (sum(good)::DOUBLE + 5.0::DOUBLE * min(above)) / (sum(good + bad)::DOUBLE + 5.0::DOUBLE) AS purity
+         FROM t{depth} GROUP BY host, template)
 SELECT page_id, j.host, path, rule,
-       coalesce(given, CASE WHEN purity < 0.5 THEN 'block' ELSE 'allow' END) AS verdict, k.template, n_labels, purity
-FROM judged j JOIN known k ON k.host = j.host AND k.s = j.s JOIN purity p ON p.host = k.host AND p.template = k.template
+       coalesce(given, CASE WHEN n_labels >= 5 AND purity < 0.5 THEN 'block' ELSE 'allow' END) AS verdict, k.template, n_labels, purity
+FROM judged j JOIN t{depth} k ON k.host = j.host AND k.s = j.s JOIN purity p ON p.host = k.host AND p.template = k.template
 """
     )
 

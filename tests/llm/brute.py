@@ -22,19 +22,19 @@ def quality(text: str | None) -> tuple:
     return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered)
 
 
-def boilerplate(rows: list[tuple], ratio=0.1, min_pages=5, max_loss=0.5) -> list[str | None]:
-    """Texts of rows (host, text) without boilerplate lines."""
-    pages, totals = Counter(), Counter()
+def boilerplate(rows: list[tuple], ratio=0.1) -> list[str | None]:
+    """Texts of rows (host, text) without lines on over ``ratio`` of the host's different texts, and on two at least."""
+    texts, carry = defaultdict(set), defaultdict(set)
     for host, text in rows:
-        totals[host or ""] += 1
-        pages.update({(host or "", x.strip(" ")) for x in (text or "").split("\n") if x.strip(" ")})
-    out = []
-    for host, text in rows:
-        lines = (text or "").split("\n")
-        hit = lambda x: x.strip(" ") and pages[host or "", x.strip(" ")] >= min_pages and pages[host or "", x.strip(" ")] > ratio * totals[host or ""]
-        lost, whole = sum(len(x.strip(" ")) for x in lines if hit(x)), sum(len(x.strip(" ")) for x in lines)
-        out.append(text if text is None or lost > max_loss * whole else "\n".join(x for x in lines if not hit(x)))
-    return out
+        texts[host or ""].add(text or "")
+        for line in (text or "").split("\n"):
+            carry[host or "", line.strip(" ")].add(text or "")
+
+    def stays(host, line):
+        pages = len(carry[host or "", line])
+        return not line or pages < 2 or pages <= ratio * len(texts[host or ""])
+
+    return [None if text is None else "\n".join(x for x in text.split("\n") if stays(host, x.strip(" "))) for host, text in rows]
 
 
 def shingle_set(text: str | None) -> frozenset:
