@@ -6,6 +6,8 @@ import uuid
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,11 +15,11 @@ from formtide.config import ParsingConfig, SelectionConfig
 from formtide.functions import encode, metrics
 from formtide.operators import changes, lookup, reshape, rolling, select
 from formtide.plans.jobs import form_lookups, with_features
-from formtide.plans.model import fit_win_model
+from formtide.plans.model import fit_win_model, numbered, vector_columns
 from formtide.plans.standin import MATCHES_SQL, matches, table
 from formtide.session import materialize, shared_dir
 from formtide.sources import records
-from formtide.sources.csv import typed_results
+from formtide.sources.csv import load_results, load_with_rejects, typed_results
 from formtide.sources.tables import FeatureTable, TableStore, key_violations
 from formtide.streaming.upsert import SyncedTable
 
@@ -135,6 +137,49 @@ def typed_scan(spark: SparkSession, folder: str) -> DataFrame:
     return typed_results(text, ["match_id", "absent", "_map", "team_1", "date"], parsing)
 
 
+CSV_PARSING = ParsingConfig(
+    categories=("team_1", "map_name"), date_column="date", rename={"_map": "map_name"}, types={"match_id": "bigint", "rank_1": "int"}
+)
+CSV_COLUMNS = ["match_id", "_map", "team_1", "date", "rank_1"]
+
+
+def _orders_csv(spark: SparkSession, folder: str) -> str:
+    """A CSV file of the orders, with quotes, commas and line breaks in values, and some numbers and dates that are none."""
+    lines = table(spark, folder, "orders").select(
+        F.col("o_orderkey").cast("string").alias("match_id"),
+        F.col("o_orderstatus").alias("_map"),
+        F.concat(F.lit('says "'), F.col("o_orderpriority"), F.lit('",\nthen goes on')).alias("team_1"),
+        F.when(F.col("o_orderstatus") == "P", "1996-13-45").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("date"),
+        F.when(F.col("o_orderpriority") == "5-LOW", "low").when(F.col("o_orderpriority") == "1-URGENT", "NA").otherwise("7").alias("rank_1"),
+    )
+    path = f"{shared_dir(spark)}/orders-{uuid.uuid4().hex}.csv"
+    lines.write.options(header=True, quote='"', escape='"').csv(path)
+    return path
+
+
+@query(
+    """
+    SELECT CAST(o_orderkey AS BIGINT) AS match_id, o_orderstatus AS map_name,
+           'says "' || o_orderpriority || '",' || chr(10) || 'then goes on' AS team_1,
+           CASE WHEN o_orderstatus <> 'P' THEN CAST(o_orderdate AS TIMESTAMP) END AS date,
+           CASE WHEN o_orderpriority NOT IN ('5-LOW', '1-URGENT') THEN 7 END AS rank_1
+    FROM orders
+    """
+)
+def csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    return load_results(spark, _orders_csv(spark, folder), CSV_COLUMNS, CSV_PARSING, strict=True)
+
+
+@query(
+    """
+    SELECT 'date' AS "column", '1996-13-45' AS value, 'time' AS expected FROM orders WHERE o_orderstatus = 'P'
+    UNION ALL SELECT 'rank_1', 'low', 'int' FROM orders WHERE o_orderpriority = '5-LOW'
+    """
+)
+def csv_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    return load_with_rejects(spark, _orders_csv(spark, folder), CSV_COLUMNS, CSV_PARSING)[1]
+
+
 @query("SELECT date, team_1, team_2, map_name, starting_ct, rank_1, rank_2, map_winner FROM matches")
 def select_features(spark: SparkSession, folder: str) -> DataFrame:
     wanted = SelectionConfig(features=(*SELECTION.features, "absent"), date_column="date", target="map_winner")
@@ -582,6 +627,36 @@ def train_score(spark: SparkSession, folder: str) -> DataFrame:
     return _judged(fit_win_model(early, late, SELECTION, *QUICK_FIT).score(test))
 
 
+@query(
+    f"""
+    WITH early AS (SELECT * FROM matches WHERE date < DATE '{VALID_FROM}'),
+    one AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS n FROM (SELECT DISTINCT team_1 AS v FROM early)),
+    two AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS n FROM (SELECT DISTINCT team_2 AS v FROM early)),
+    map AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS n FROM (SELECT DISTINCT map_name AS v FROM early)),
+    late AS (SELECT date, CASE WHEN rank_1 = 1 THEN 'nobody' ELSE team_1 END AS team_1, team_2, map_name, starting_ct,
+                    CASE WHEN rank_1 <> 2 THEN rank_1 END AS rank_1, rank_2
+             FROM matches WHERE date >= DATE '{VALID_FROM}')
+    SELECT date, team_1, team_2, map_name, coalesce(one.n, -1)::DOUBLE AS f0, coalesce(two.n, -1)::DOUBLE AS f1,
+           coalesce(map.n, -1)::DOUBLE AS f2, coalesce(starting_ct, 0)::DOUBLE AS f3, coalesce(rank_1, 0)::DOUBLE AS f4,
+           coalesce(rank_2, 0)::DOUBLE AS f5, (starting_ct IS NOT NULL)::INT::DOUBLE AS f6, (rank_1 IS NOT NULL)::INT::DOUBLE AS f7,
+           (rank_2 IS NOT NULL)::INT::DOUBLE AS f8
+    FROM late LEFT JOIN one ON one.v = team_1 LEFT JOIN two ON two.v = team_2 LEFT JOIN map ON map.v = map_name
+    """
+)
+def encoded_features(spark: SparkSession, folder: str) -> DataFrame:
+    """The vector that a model sees, by dictionaries of the earlier matches; some teams and ranks are unknown."""
+    early, late = select.validation_split(matches(spark, folder), VALID_FROM)
+    odd = {
+        "team_1": F.when(F.col("rank_1") == 1, "nobody").otherwise(F.col("team_1")),
+        "rank_1": F.when(F.col("rank_1") != 2, F.col("rank_1")),
+    }
+    dictionaries = {c: materialize(encode.category_dictionary(early, c), "dictionary") for c in SELECTION.categories}
+    columns = vector_columns(SELECTION)
+    rows = VectorAssembler(inputCols=columns, outputCol="v").transform(numbered(late.withColumns(odd), SELECTION, dictionaries, {}))
+    array = vector_to_array("v")
+    return rows.select(*KEYS, *(array[i].alias(f"f{i}") for i in range(len(columns))))
+
+
 @query(
     f"""
     WITH {FORM_SQL},

@@ -18,6 +18,10 @@ MISSING_TEXTS = (
 )
 
 
+#: Column of the raw table that holds the whole text of records that do not have the header's number of values.
+MALFORMED = "_malformed"
+
+
 def load_results(
     spark: SparkSession,
     path: str,
@@ -27,10 +31,34 @@ def load_results(
 ) -> DataFrame:
     """Read ``columns`` (in that order) from CSV, rename them and give them types.
 
-    Absent columns are left out, or raise with ``strict``. Unreadable dates become null. The parsed time is
-    always called ``date``, whichever column it came from.
+    Absent columns are left out, or raise with ``strict``. Unreadable values become null; ``load_with_rejects`` tells which.
+    The parsed time is always called ``date``, whichever column it came from.
+    """
+    raw, kept, types = _raw(spark, path, columns, parsing, strict)
+    return typed_results(raw, kept, parsing, types)
+
+
+def load_with_rejects(
+    spark: SparkSession,
+    path: str,
+    columns: Sequence[str] | None,
+    parsing: ParsingConfig,
+    strict: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """(the typed rows as of ``load_results``, what could not be read).
+
+    The second has a row for each value that is present but not of its column's type (column, value, expected), and one for
+    each record with more or fewer values than the header (no column, the record's text as the value).
     """
-    reader = spark.read.options(header=True, quote='"', escape='"')
+    raw, kept, types = _raw(spark, path, columns, parsing, strict, malformed=True)
+    return typed_results(raw, kept, parsing, types), rejected_values(raw, kept, parsing, types)
+
+
+def _raw(
+    spark: SparkSession, path: str, columns: Sequence[str] | None, parsing: ParsingConfig, strict: bool, malformed: bool = False
+) -> tuple[DataFrame, list[str], dict[str, str]]:
+    """(the file's columns as text, those that are wanted, their types)."""
+    reader = spark.read.options(header=True, quote='"', escape='"', multiLine=parsing.multi_line)
     header = reader.csv(path).columns
     wanted = list(columns) if columns is not None else header
     missing = [c for c in wanted if c not in header]
@@ -44,9 +72,11 @@ def load_results(
         inferred = reader.option("inferSchema", True).csv(path).schema
         types = {rename.get(f.name, f.name): _widened(f.dataType) for f in inferred.fields} | types
     # Every column is read as text by name; the parser still skips the ones not selected.
-    as_text = T.StructType([T.StructField(c, T.StringType()) for c in header])
-    raw = reader.schema(as_text).options(enforceSchema=False, inferSchema=False).csv(path)
-    return typed_results(raw, list(kept), parsing, types)
+    as_text = T.StructType([T.StructField(c, T.StringType()) for c in [*header, *([MALFORMED] if malformed else [])]])
+    reader = reader.schema(as_text).options(enforceSchema=False, inferSchema=False)
+    if malformed:
+        reader = reader.options(enforceSchema=True, columnNameOfCorruptRecord=MALFORMED)
+    return reader.csv(path), list(kept), types
 
 
 def typed_results(
@@ -71,6 +101,34 @@ def typed_results(
     return raw.select(*typed).withColumn("date", lenient_timestamp(parsing.date_column, parsing.date_format))
 
 
+def rejected_values(
+    raw: DataFrame, columns: Sequence[str], parsing: ParsingConfig, types: Mapping[str, str] | None = None
+) -> DataFrame:
+    """(column, value, expected) of the texts that ``typed_results`` makes null although they are not missing.
+
+    Where ``raw`` has the column MALFORMED, its values come too, without a column. Names are those after renaming.
+    """
+    rename = dict(parsing.rename or {})
+    types = parsing.types if types is None else types
+    found = []
+    for source in columns:
+        name, text = rename.get(source, source), F.col(f"`{source}`")
+        if name == parsing.date_column:
+            read, expected = lenient_timestamp(source, parsing.date_format), parsing.date_format or "time"
+        elif name in types and name not in parsing.categories:
+            read, expected = text.try_cast(types[name]), types[name]
+        else:
+            continue
+        bad = ~text.isin(*MISSING_TEXTS) & read.isNull()
+        found.append(F.when(bad, F.struct(F.lit(name).alias("column"), text.alias("value"), F.lit(expected).alias("expected"))))
+    if MALFORMED in raw.columns:
+        whole = F.struct(F.lit(None).cast("string").alias("column"), F.col(MALFORMED).alias("value"), F.lit("record").alias("expected"))
+        found.append(F.when(F.col(MALFORMED).isNotNull(), whole))
+    if not found:
+        return raw.sparkSession.createDataFrame([], "column string, value string, expected string")
+    return raw.select(F.inline(F.filter(F.array(*found), lambda x: x.isNotNull())))
+
+
 def _widened(kind: T.DataType) -> str:
     if isinstance(kind, (T.IntegerType, T.LongType)):
         return "bigint"

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 
 from formtide.config import ParsingConfig
-from formtide.sources.csv import load_results
+from formtide.sources.csv import load_results, load_with_rejects
 
 HEADER = "date,team_1,team_2,_map,result_1,result_2,map_winner,event_id"
 ROWS = """
@@ -76,3 +76,48 @@ def test_time_is_always_called_date(spark, tmp_path):
 def test_only_selected_columns_are_parsed(spark, path):
     df = load_results(spark, path, ["date", "team_1", "team_2", "_map"], parsing()).select("team_1")
     assert "ReadSchema: struct<team_1:string>" in df._jdf.queryExecution().toString()
+
+
+@pytest.fixture
+def ugly(tmp_path):
+    file = tmp_path / "ugly.csv"
+    file.write_text(
+        HEADER
+        + '\n2020-03-08,"Red ""Foxes""\nof, the\n\nNorth",B,Mill,16,ten,1,77'  # line breaks and quotes in a value
+        + "\n2020-13-45,A,B,Mill,x,1.5,1,78"
+        + "\n2020-03-09,A,B,Mill,NA,,1,79"
+        + "\n2020-03-10,A,B"  # too short
+        + "\n2020-03-11,A,B,Mill,1,2,1,80,more\n"  # too long
+    )
+    return str(file)
+
+
+def test_line_breaks_in_quotes(spark, ugly):
+    rows = load_results(spark, ugly, COLUMNS, parsing()).collect()
+    assert len(rows) == 5
+    assert rows[0]["team_1"] == 'Red "Foxes"\nof, the\n\nNorth' and rows[0]["map_winner"] == 1
+
+
+def test_rejects_name_every_value_that_was_lost(spark, ugly):
+    typed, rejects = load_with_rejects(spark, ugly, COLUMNS, parsing())
+    assert sorted(map(str, typed.collect())) == sorted(map(str, load_results(spark, ugly, COLUMNS, parsing()).collect()))
+    found = sorted((tuple(r) for r in rejects.collect()), key=str)
+    assert found == sorted(
+        [
+            ("result_2", "ten", "bigint"),
+            ("date", "2020-13-45", "time"),
+            ("result_1", "x", "bigint"),
+            ("result_2", "1.5", "bigint"),
+            (None, "2020-03-10,A,B", "record"),
+            (None, "2020-03-11,A,B,Mill,1,2,1,80,more", "record"),
+        ],
+        key=str,
+    )
+
+
+def test_a_clean_file_has_no_rejects(spark, path, tmp_path):
+    file = tmp_path / "clean.csv"
+    file.write_text("played,team\n2020-01-02,A\n")
+    clean = ParsingConfig(categories=("team",), date_column="played")
+    assert load_with_rejects(spark, str(file), None, clean)[1].collect() == []
+    assert [r["column"] for r in load_with_rejects(spark, path, COLUMNS, parsing())[1].collect()] == ["date", "date"]
