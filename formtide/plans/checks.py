@@ -72,8 +72,8 @@ def feature_tables(spark: SparkSession, folder: str) -> tuple[FeatureTable, Feat
     overall = materialize(rolling.overall_form(sides), "overall")
     per_map = materialize(rolling.map_form(sides), "per-map")
     return (
-        FeatureTable(overall, ("team_name",), "date", "overall"),
-        FeatureTable(per_map, ("map_name", "team_name"), "date", "per_map"),
+        FeatureTable(overall, ("team_name",), "date", "overall", checked=True),
+        FeatureTable(per_map, ("map_name", "team_name"), "date", "per_map", checked=True),
     )
 
 
@@ -371,7 +371,7 @@ def _asked(spark: SparkSession, folder: str) -> DataFrame:
 )
 def asof_lookup(spark: SparkSession, folder: str) -> DataFrame:
     overall = materialize(rolling.overall_form(sides_of(spark, folder)), "overall")
-    features = FeatureTable(overall, ("team_name",), "date", "overall")
+    features = FeatureTable(overall, ("team_name",), "date", "overall", checked=True)
     renamed = {"last_10_match_day_winshare": "winshare"}
     return lookup.asof_lookup(_asked(spark, folder), lookup.Lookup(features, ("team",), "date", rename=renamed))
 
@@ -387,7 +387,7 @@ def asof_lookup(spark: SparkSession, folder: str) -> DataFrame:
 )
 def asof_lookup_composite(spark: SparkSession, folder: str) -> DataFrame:
     per_map = materialize(rolling.map_form(sides_of(spark, folder)), "per-map")
-    features = FeatureTable(per_map, ("map_name", "team_name"), "date", "per_map")
+    features = FeatureTable(per_map, ("map_name", "team_name"), "date", "per_map", checked=True)
     return lookup.asof_lookup(_asked(spark, folder), lookup.Lookup(features, ("map_name", "team"), "date"))
 
 
@@ -444,7 +444,22 @@ def keyed_lookup(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("rank_1") == 1, "AF").otherwise(F.col("map_name")).alias("map_name"),
         "starting_ct",
     )
-    return lookup.keyed_lookup(requests, FeatureTable(served, tuple(KEYS)))
+    return lookup.keyed_lookup(requests, FeatureTable(served, tuple(KEYS), checked=True))
+
+
+@query(
+    """
+    SELECT l.l_orderkey, l.l_linenumber, e.event_type, e.value
+    FROM lineitem l
+    LEFT JOIN (SELECT user_id, max((value, event_type)) AS m, m[1] AS value, m[2] AS event_type FROM events GROUP BY user_id) e
+      ON e.user_id = l.l_partkey
+    """
+)
+def keyed_lookup_repeated_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """A table with many rows of each key; still one row per request, with the greatest features."""
+    requests = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    events = FeatureTable(table(spark, folder, "events").select("user_id", "value", "event_type"), ("user_id",))
+    return lookup.keyed_lookup(requests, events, ["l_partkey"]).drop("l_partkey")
 
 
 @query(

@@ -43,6 +43,7 @@ def test_a_reader_keeps_its_version(spark, tmp_path, kind):
     assert state(reader) == state(frame(spark, 0)) == state(store.keyed("form", ["team", "day"], version=1).df)
     assert state(store.read("form")) == state(frame(spark, 1)) == state(store.read("form", version=2))
     assert [(p.version, p.rows) for p in store.versions("form").published()] == [(1, 24), (2, 24)]
+    assert store.keyed("form", ["team", "day"]).checked and not store.keyed("form", ["team"]).checked
     with pytest.raises(KeyError, match="no version 3"):
         store.read("form", version=3)
 
