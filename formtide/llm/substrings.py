@@ -29,7 +29,7 @@ LENGTH = 50
 #: Bytes of a k-mer; any window has LENGTH - KMER + 1 of them.
 KMER = 14
 #: Input bytes of one bucket, about.
-BUCKET = 6_000_000
+BUCKET = 4_000_000
 #: Bytes that a task combines at a time.
 PIECE = 1 << 19
 #: Pieces whose stretches are packed together.
