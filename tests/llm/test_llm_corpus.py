@@ -6,7 +6,9 @@ from collections import Counter
 
 import brute
 import corpus_pipeline
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -58,6 +60,23 @@ def test_jaccard_join(spark, monkeypatch, listed):
     assert got == brute.similar(rows)
 
 
+def test_jaccard_meetings(spark):
+    """Texts whose first common shingle stands too far back in both for a link don't meet, and those with enough after it do."""
+
+    def meet(places):
+        texts = [" ".join(f"{k}x{i}" if i < place else f"same{i}" for i in range(44)) for k, place in enumerate(places)]
+        rows = spark.createDataFrame([(k, str(k), t) for k, t in enumerate(texts)], "id long, key string, text string")
+        hashes = [tokens.shingles(pa.array([t]))[0] for t in texts]
+        common = np.intersect1d(*hashes)  # as the most frequent ones they are the last of each text
+        heads = jaccard._heads(rows, common)
+        assert heads.columns == ["id", "key", "heads", "spots"]  # no text goes on from here
+        matrix = jaccard._matrix(heads.withColumnRenamed("id", "group"), 3)
+        return {frozenset((r.a, b)) for r in jaccard._meetings(matrix).collect() for b in r.bs}
+
+    assert meet([4, 4]) == {frozenset((0, 1))}
+    assert meet([8, 8]) == set()
+
+
 def test_jaccard_ties(spark):
     """Repeated rows and ids link by their texts; rows without an id take part; an empty table has no rows."""
     text = "one two three four five six seven"
