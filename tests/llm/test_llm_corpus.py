@@ -77,6 +77,30 @@ def test_jaccard_meetings(spark):
     assert meet([8, 8]) == set()
 
 
+def test_jaccard_chance_meetings_are_no_candidates(spark, monkeypatch):
+    """Texts that share one rare shingle each with many others are not compared; a near copy of one still is."""
+    asked = []
+    verified = jaccard._verified
+    monkeypatch.setattr(jaccard, "_verified", lambda docs, pairs, keys: asked.append(pairs.count()) or verified(docs, pairs, keys))
+    words = [[f"w{k}x{i}" for i in range(20)] for k in range(24)]
+    for k, j in itertools.combinations(range(24), 2):
+        words[k] += [f"c{k}y{j}z{i}" for i in range(5)]
+        words[j] += [f"c{k}y{j}z{i}" for i in range(5)]
+    rows = [(k, " ".join(w)) for k, w in enumerate(words)] + [(100, " ".join(words[0][:-2]))]
+    got = {r.doc_id: r.component_id for r in jaccard.similar_groups(frame(spark, rows)).collect()}
+    assert got == {k: k for k in range(24)} | {100: 0}
+    assert sum(asked) <= 2
+
+
+def test_jaccard_frequent_shingles(spark, monkeypatch):
+    counts = spark.createDataFrame([(k, 1 + k % 5) for k in range(100)], "shingle long, times long")
+    monkeypatch.setattr(jaccard, "FREQUENT", 50)
+    assert list(jaccard._frequent(counts)) == [*range(4, 100, 5), *range(3, 100, 5)]
+    monkeypatch.setattr(jaccard, "FREQUENT", 7)
+    assert list(jaccard._frequent(counts)) == [*range(4, 35, 5)]
+    assert len(jaccard._frequent(counts.limit(0))) == 0
+
+
 def test_jaccard_ties(spark):
     """Repeated rows and ids link by their texts; rows without an id take part; an empty table has no rows."""
     text = "one two three four five six seven"
